@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.sources.tables import read_table
+
 RAW = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -253,14 +255,17 @@ class Tables:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark = spark
         self.directory = directory
-        self._names = {name: f"parquet.`{directory}/{name}.parquet`" for name in RAW}
         self._sql = views(SparkDialect, renewed, reset)
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        if name not in self._raw:
+            self._raw[name] = read_table(self.spark, self.directory, name)
+        return self._raw[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in self._sql:
             raise AttributeError(name)
-        sql = self._sql[name].format(**self._names).replace("TIMESTAMP '", "TIMESTAMP_NTZ '")
-        return self.spark.sql(sql)
+        sql = self._sql[name].replace("TIMESTAMP '", "TIMESTAMP_NTZ '")
+        used = {raw: self.raw(raw) for raw in RAW if f"{{{raw}}}" in sql}
+        return self.spark.sql(sql, **used)
