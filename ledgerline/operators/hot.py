@@ -8,7 +8,7 @@ left off a full list holds at most 1/MAX_HOT of all rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +56,31 @@ def time_slice(key: str, seconds: Column, hot: Sequence, grain: int = SLICE_SECO
     return F.when(F.col(key).isin(list(hot)), F.floor(seconds / grain))
 
 
+def only(df: DataFrame, key: str, hot: Sequence) -> DataFrame:
+    return df.where(F.col(key).isin(list(hot)))
+
+
+def without(df: DataFrame, key: str, hot: Sequence) -> DataFrame:
+    return df.where(~F.coalesce(F.col(key).isin(list(hot)), F.lit(False)))
+
+
+def apart(
+    df: DataFrame,
+    key: str,
+    hot: Sequence,
+    whole: Callable[[DataFrame], DataFrame],
+    sliced: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Run ``sliced`` on the rows of hot keys and ``whole`` on all others.
+
+    For steps that treat each key by itself, so that the few hot keys do not
+    slow down the plan of the rest.
+    """
+    if not hot:
+        return whole(df)
+    return whole(without(df, key, hot)).unionByName(sliced(only(df, key, hot)))
+
+
 def lookup(
     fact: DataFrame,
     dim: DataFrame,

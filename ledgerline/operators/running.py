@@ -3,9 +3,9 @@
 ``running`` evaluates values such as "previous row", "last valid value so far"
 or "sum so far" over the rows of a key. Normally that is one Spark window per
 key. When the caller gives a slice column (see ``hot.time_slice``), the rows of
-hot keys are windowed per (key, slice); a table with one row per slice carries
-each value from slice to slice and is joined back. Other keys have a NULL slice
-and never touch that table. Both ways give the same result.
+hot keys are windowed per (key, slice) and staged; a table with one row per
+slice carries each value from slice to slice and is joined back. Rows with a
+NULL slice never touch that table. Both ways give the same result.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerline.sources.tables import stage
+
 UNBOUNDED = W.unboundedPreceding
 
 
@@ -160,6 +162,8 @@ def running(
         F.row_number().over(w).alias("_at"),
         *[op.within(w).alias(f"_in_{name}") for name, op in values.items()],
     )
+    # Read twice below; unstaged, each further pass would double the work before it.
+    local = stage(local, "running")
     parts = (
         local.where(F.col(slice_by).isNotNull())
         .groupBy(*keys, slice_by)

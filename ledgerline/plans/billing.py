@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.dates import epoch_seconds, local_time, month_start, quarter_start, year_start
 from ledgerline.functions.money import full_price, tax_exclusive, unit_price
-from ledgerline.operators.hot import SLICE, time_slice
+from ledgerline.operators.hot import SLICE, apart, only, time_slice, without
 from ledgerline.operators.intervals import interval_join
 from ledgerline.operators.matching import first_per, nearby_history, sole_rows
 from ledgerline.operators.running import LatestOfAll, Previous, SumSoFar, TotalOfAll, running
@@ -113,11 +113,8 @@ def invoice_base(
     )
 
 
-def together(rows: DataFrame, at: str, hot: Sequence = ()) -> DataFrame:
-    """Rows of a workspace in one task, or each time slice of a hot workspace."""
-    if not hot:
-        return rows
-    return rows.withColumn(SLICE, time_slice("workspaceid", epoch_seconds(F.col(at)), hot))
+def sliced(rows: DataFrame, at: str, hot: Sequence, key: str = "workspaceid") -> DataFrame:
+    return rows.withColumn(SLICE, time_slice(key, epoch_seconds(F.col(at)), hot))
 
 
 def with_voucher_plan(base: DataFrame, plan_types: DataFrame) -> DataFrame:
@@ -151,8 +148,13 @@ def voucher_amount() -> Column:
 
 
 def voucher_positions(base: DataFrame, plan_types: DataFrame, hot: Sequence = ()) -> DataFrame:
-    rows = together(with_voucher_plan(base, plan_types).where("is_voucher"), "createdat", hot)
-    found = number_vouchers(rows, SLICE if hot else None)
+    found = apart(
+        with_voucher_plan(base, plan_types).where("is_voucher"),
+        "workspaceid",
+        hot,
+        number_vouchers,
+        lambda rows: number_vouchers(sliced(rows, "createdat", hot), SLICE).drop(SLICE),
+    )
     return found.select("purchaseitemid", "workspaceid", "r_num", "r_num_inverse", "price", "origin_price")
 
 
@@ -171,10 +173,8 @@ def invoice_adjusted(
 ) -> DataFrame:
     """Invoices with voucher amounts, net difference, running plan and start flag.
 
-    ``periods`` should be staged. All steps run on a workspace's rows where they
-    lie after the interval join, so the invoices are shuffled once.
+    ``base`` and ``periods`` should be staged.
     """
-    slice_by = SLICE if hot else None
     intervals = periods.select(
         "workspaceid",
         F.col("planid").alias("extracharge_planid"),
@@ -183,8 +183,21 @@ def invoice_adjusted(
         F.coalesce("subscription_end", local_time(as_of)).alias("_until"),
     )
     marked = with_voucher_plan(base, plan_types)
+    marked = marked.withColumn("is_voucher", F.col("is_voucher") & F.col("workspaceid").isNotNull())
+    return apart(
+        marked,
+        "workspaceid",
+        hot,
+        lambda rows: _adjust(rows, without(intervals, "workspaceid", hot) if hot else intervals),
+        lambda rows: _adjust(rows, only(intervals, "workspaceid", hot), hot),
+    )
+
+
+def _adjust(invoices: DataFrame, intervals: DataFrame, hot: Sequence = ()) -> DataFrame:
+    """The steps run on a workspace's rows where they lie after the first shuffle."""
+    slice_by = SLICE if hot else None
     rows = interval_join(
-        marked.withColumn("is_voucher", F.col("is_voucher") & F.col("workspaceid").isNotNull()),
+        invoices,
         intervals,
         "workspaceid",
         "createdat",
@@ -302,10 +315,17 @@ def billing_calendar(ledger: DataFrame, hot: Sequence = ()) -> DataFrame:
     Rows without a workspace count as one workspace. With these weights a plain
     sum over a period counts workspaces once.
     """
-    slice_by = SLICE if hot else None
-    rows = ledger.withColumn("_ws", F.coalesce("workspaceid", F.lit(NO_WORKSPACE)))
-    if hot:
-        rows = rows.withColumn(SLICE, time_slice("_ws", epoch_seconds(F.col("datevalue")), hot))
+    found = apart(
+        ledger.withColumn("_ws", F.coalesce("workspaceid", F.lit(NO_WORKSPACE))),
+        "_ws",
+        hot,
+        _calendar,
+        lambda rows: _calendar(sliced(rows, "datevalue", hot, "_ws"), SLICE).drop(SLICE),
+    )
+    return found.drop("_ws")
+
+
+def _calendar(rows: DataFrame, slice_by: str | None = None) -> DataFrame:
     order = [
         F.asc_nulls_last("datevalue"),
         F.asc_nulls_last("invoiceid"),
@@ -330,7 +350,7 @@ def billing_calendar(ledger: DataFrame, hot: Sequence = ()) -> DataFrame:
             .withColumn(f"workspace_all_count_{unit}", F.lit(1.0) / F.col("_rows"))
             .drop("_start", "_rows", "_unit")
         )
-    return rows.drop("_ws", SLICE)
+    return rows
 
 
 def billing_matched(calendar: DataFrame, history: DataFrame, keep_unmatched: bool = False) -> DataFrame:

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.hot import HOT_ROWS, SLICE, hot_keys
+from ledgerline.operators.hot import HOT_ROWS, SLICE, hot_keys, only, without
 from ledgerline.plans import billing, events, periods, referral
 from ledgerline.plans.events import SUBSCRIPTION, Labels
 from ledgerline.sources.tables import stage
@@ -31,15 +31,37 @@ def hot_workspaces(t, hot_rows: int = HOT_ROWS) -> list:
     )
 
 
+def _per_workspace(t, hot: list, finish) -> DataFrame:
+    """``finish(v1, v2, custom, subscription, hot)`` for normal and for hot workspaces."""
+    logs = (t.subscription_event_log, t.subscription_event_log_v2, t.custom_eventlog, t.subscription)
+    if not hot:
+        return finish(*logs, [])
+    v1, v2, custom, subscription = logs
+    parts = [
+        finish(pick(v1, "workspaceid", hot), v2, pick(custom, "workspaceid", hot), pick(subscription, "workspaceid", hot), keys)
+        for pick, keys in ((without, []), (only, hot))
+    ]
+    return parts[0].unionByName(parts[1].drop(SLICE))
+
+
 def event_log(t, hot: list, labels: Labels = SUBSCRIPTION, keep_plan_of=()) -> DataFrame:
-    return events.event_log(
-        t.subscription_event_log, t.subscription_event_log_v2, t.custom_eventlog, t.subscription, labels, keep_plan_of, hot
-    )
+    def finish(v1, v2, custom, subscription, keys):
+        return events.event_log(v1, v2, custom, subscription, labels, keep_plan_of, keys)
 
+    return _per_workspace(t, hot, finish)
 
-def plan_groups(t, labels: Labels = SUBSCRIPTION, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, list]:
+
+def plan_groups(
+    t, labels: Labels = SUBSCRIPTION, hot_rows: int = HOT_ROWS, keep_plan_of=()
+) -> tuple[DataFrame, list]:
+    """Events with their plan runs, and the workspaces too big for one task."""
     hot = hot_workspaces(t, hot_rows)
-    return periods.plan_groups(event_log(t, hot, labels), labels, SLICE if hot else None), hot
+
+    def finish(v1, v2, custom, subscription, keys):
+        log = events.event_log(v1, v2, custom, subscription, labels, keep_plan_of, keys)
+        return periods.plan_groups(log, labels, SLICE if keys else None)
+
+    return _per_workspace(t, hot, finish), hot
 
 
 def staged_groups(t, hot_rows: int = HOT_ROWS) -> Groups:

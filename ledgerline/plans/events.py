@@ -102,13 +102,13 @@ def relabel_v2(
 
     A renewal whose count did not fall is a plan change when the plan differs
     from the previous event's, else a renewal; a yearly one that started over
-    is a reset.
+    is a reset. With hot workspaces the result carries their slice column.
     """
     owner = subscription.select(F.col("id").alias("subscriptionid"), "workspaceid")
     rows = log.join(owner, "subscriptionid").withColumnRenamed("id", "eventid")
     rows = rows.withColumn("logtimestamp", epoch_seconds(F.col("logdatetimestamp")))
     if hot:
-        rows = rows.withColumn(SLICE, time_slice("workspaceid", F.col("logtimestamp"), hot))
+        rows = with_slice(rows, hot)
     rows = running(
         rows,
         ["workspaceid"],
@@ -140,12 +140,13 @@ def relabel_v2(
         "plansuppliedresetcount": resets,
         "remainingresetcount": F.col("renewalcount"),
     }
-    return rows.select(*[(derived.get(c, F.col(c))).alias(c) for c in COLUMNS])
+    return rows.select(*[(derived.get(c, F.col(c))).alias(c) for c in COLUMNS], *([SLICE] if hot else []))
 
 
 def drop_redelivered(events: DataFrame) -> DataFrame:
     """One event per workspace, second and microsecond: the smallest id."""
-    same = W.partitionBy("workspaceid", "logtimestamp", "logmicrosecondstamp").orderBy(F.asc_nulls_last("eventid"))
+    slices = [SLICE] if SLICE in events.columns else []
+    same = W.partitionBy("workspaceid", *slices, "logtimestamp", "logmicrosecondstamp").orderBy(F.asc_nulls_last("eventid"))
     return events.withColumn("_n", F.row_number().over(same)).where("_n = 1").drop("_n")
 
 
@@ -174,12 +175,15 @@ def unify(v1: DataFrame, v2: DataFrame, custom: DataFrame) -> DataFrame:
     return stack_logs(v1, v2, custom).distinct()
 
 
-def together(events: DataFrame, hot: Sequence = ()) -> DataFrame:
+def together(rows: DataFrame, hot: Sequence = ()) -> DataFrame:
     """Bring a workspace's events to one task (each time slice of a hot one)."""
     if not hot:
-        return events.repartition("workspaceid")
-    sliced = events.withColumn(SLICE, time_slice("workspaceid", F.col("logtimestamp"), hot))
-    return sliced.repartition("workspaceid", SLICE)
+        return rows.repartition("workspaceid")
+    return with_slice(rows, hot).repartition("workspaceid", SLICE)
+
+
+def with_slice(rows: DataFrame, hot: Sequence) -> DataFrame:
+    return rows.withColumn(SLICE, time_slice("workspaceid", F.col("logtimestamp"), hot))
 
 
 def index_events(events: DataFrame, slice_by: str | None = None) -> DataFrame:
@@ -278,10 +282,16 @@ def event_log(
     keep_plan_of: Sequence[str] = (),
     hot: Sequence = (),
 ) -> DataFrame:
-    """The finished log. With hot workspaces it also carries their slice column."""
+    """The finished log. With ``hot`` workspaces it also carries their slice column.
+
+    The second log is shuffled by workspace for its relabelling. The others are
+    brought to the same partitioning, which the union keeps: from here on no
+    event is shuffled again.
+    """
     slice_by = SLICE if hot else None
     renamed = drop_redelivered(relabel_v2(v2, subscription, labels, hot))
-    events = together(stack_logs(v1, renamed, custom), hot).distinct()
+    first, own = together(from_v1(v1), hot), together(from_custom(custom), hot)
+    events = first.unionByName(renamed).unionByName(own).distinct()
     rows = relabel_events(index_events(events, slice_by), labels)
     rows = remap_migrated(rows, slice_by).withColumn("eventname", F.col("_named"))
     rows = remap_reset(rows, labels, keep_plan_of, slice_by)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import add_months, day_start
 from ledgerline.functions.identity import surrogate_id
-from ledgerline.operators.hot import SLICE, lookup, time_slice
+from ledgerline.operators.hot import SLICE, apart, lookup, time_slice
 from ledgerline.operators.running import Latest, Previous, SumSoFar, running
 from ledgerline.plans.events import SUBSCRIPTION, Labels
 
@@ -122,10 +122,27 @@ def with_next_change(starts: DataFrame, groups: DataFrame, hot: Sequence = ()) -
     cells = cells.select(
         "workspaceid", "second", F.struct(F.col("one.at").alias("at"), F.col("one.plan").alias("plan"), "other_at").alias("cell")
     )
-    slice_by = None
-    if hot:
-        slice_by = SLICE
-        cells = cells.withColumn(SLICE, time_slice("workspaceid", F.col("second"), hot))
+    cells = apart(
+        cells,
+        "workspaceid",
+        hot,
+        lambda part: _look_ahead(part, None),
+        lambda part: _look_ahead(
+            part.withColumn(SLICE, time_slice("workspaceid", F.col("second"), hot)), SLICE
+        ).drop(SLICE),
+    )
+
+    def answer(cell: Column) -> Column:
+        return F.when(cell["plan"] != F.col("planid"), cell["at"]).otherwise(cell["other_at"])
+
+    found = cells.select("workspaceid", F.col("second").alias("logtimestamp_start"), "ahead")
+    joined = starts.join(found, ["workspaceid", "logtimestamp_start"], "left")
+    end = F.coalesce(answer(F.col("ahead.next")), answer(F.col("ahead.after")))
+    return joined.select(*starts.columns, end.alias("end_timestamp"))
+
+
+def _look_ahead(cells: DataFrame, slice_by: str | None) -> DataFrame:
+    """Add ``ahead``: the next cell and the next cell after it at which the plan changes."""
     key, forth, back = ["workspaceid"], [F.asc("second")], [F.desc("second")]
     cells = running(cells, key, forth, {"_prev": Previous(F.col("cell"))}, slice_by)
     same = (
@@ -136,15 +153,7 @@ def with_next_change(starts: DataFrame, groups: DataFrame, hot: Sequence = ()) -
     cells = cells.withColumn("_break", F.when(~same, F.col("cell")))
     cells = running(cells, key, back, {"_next_break": Latest(F.col("_break"), strictly=True)}, slice_by, True)
     ahead = F.struct(F.col("cell").alias("next"), F.col("_next_break").alias("after"))
-    cells = running(cells, key, back, {"ahead": Previous(ahead)}, slice_by, True)
-
-    def answer(cell: Column) -> Column:
-        return F.when(cell["plan"] != F.col("planid"), cell["at"]).otherwise(cell["other_at"])
-
-    found = cells.select("workspaceid", F.col("second").alias("logtimestamp_start"), "ahead")
-    joined = starts.join(found, ["workspaceid", "logtimestamp_start"], "left")
-    end = F.coalesce(answer(F.col("ahead.next")), answer(F.col("ahead.after")))
-    return joined.select(*starts.columns, end.alias("end_timestamp"))
+    return running(cells, key, back, {"ahead": Previous(ahead)}, slice_by, True)
 
 
 def next_change(starts: DataFrame, groups: DataFrame, hot: Sequence = ()) -> DataFrame:
