@@ -121,28 +121,23 @@ def _classify_by_join(titles: DataFrame, dictionary: DataFrame, categories: list
     Overlapping hits are settled as the pattern would: take the first place,
     then the longest noun there, then go on behind it.
     """
-    text = clean_title(F.col("title"))
     longest = dictionary.agg(F.max(F.length("noun"))).first()[0] or 0
     if longest == 0:
         empty = F.array().cast("array<string>")
         return titles.select("*", empty.alias("nouns"), *[F.lit(OTHER).alias(c) for c in categories])
-    places = titles.select(key, text.alias("_text")).where(F.length("_text") > 0).distinct()
-    places = places.select(key, "_text", F.explode(F.sequence(F.lit(1), F.length("_text"))).alias("at"))
+    titles = titles.withColumn("_text", clean_title(F.col("title")))
+    one = [key, "_text"]
+    places = titles.select(*one).where(F.length("_text") > 0).distinct()
+    places = places.select(*one, F.explode(F.sequence(F.lit(1), F.length("_text"))).alias("at"))
+    lengths = F.sequence(F.lit(1), F.least(F.lit(longest), F.length("_text") - F.col("at") + 1))
     pieces = places.select(
-        key,
-        "at",
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(longest), F.length("_text") - F.col("at") + 1)),
-                lambda n: F.substring(F.col("_text"), F.col("at"), n),
-            )
-        ).alias("noun"),
+        *one, "at", F.explode(F.transform(lengths, lambda n: F.substring(F.col("_text"), F.col("at"), n))).alias("noun")
     )
     hits = pieces.join(dictionary, "noun")
-    longest_at = hits.groupBy(key, "at").agg(
+    longest_at = hits.groupBy(*one, "at").agg(
         F.max_by(F.struct("noun", *categories), F.length("noun")).alias("hit")
     )
-    per_title = longest_at.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("at", "hit"))).alias("hits"))
+    per_title = longest_at.groupBy(*one).agg(F.array_sort(F.collect_list(F.struct("at", "hit"))).alias("hits"))
     start = F.struct(F.lit(1).alias("free"), F.filter("hits", lambda h: F.lit(False)).alias("kept"))
     taken = F.aggregate(
         "hits",
@@ -152,14 +147,14 @@ def _classify_by_join(titles: DataFrame, dictionary: DataFrame, categories: list
             F.struct((h["at"] + F.length(h["hit"]["noun"])).alias("free"), F.concat(state["kept"], F.array(h)).alias("kept")),
         ).otherwise(state),
     )["kept"]
-    per_title = per_title.select(key, taken.alias("kept"))
+    per_title = per_title.select(*one, taken.alias("kept"))
     decides = F.get(F.filter("kept", lambda h: h["hit"][categories[0]].isNotNull()), F.lit(0))
     per_title = per_title.select(
-        key, F.transform("kept", lambda h: h["hit"]["noun"]).alias("nouns"), decides["hit"].alias("_hit")
+        *one, F.transform("kept", lambda h: h["hit"]["noun"]).alias("nouns"), decides["hit"].alias("_hit")
     )
-    found = titles.join(per_title, key, "left")
+    found = titles.join(per_title, one, "left")
     return found.select(
-        *titles.columns,
+        *[c for c in titles.columns if c != "_text"],
         F.coalesce("nouns", F.array().cast("array<string>")).alias("nouns"),
         *[F.coalesce(F.col(f"_hit.{c}"), F.lit(OTHER)).alias(c) for c in categories],
     )
