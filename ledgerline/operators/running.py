@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerline.operators.hot import HOT_ROWS, SLICE, apart, hot_keys, time_slice
 from ledgerline.sources.tables import stage
 
 UNBOUNDED = W.unboundedPreceding
@@ -183,3 +184,26 @@ def running(
             for name, op in values.items()
         ],
     )
+
+
+def running_measured(
+    df: DataFrame,
+    key: Sequence[str],
+    seconds: Column,
+    order: Sequence[Column],
+    values: Mapping[str, object],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``running`` with the keys too big for one task found first.
+
+    Keys are counted by the first key column. ``order`` must start with the time
+    that ``seconds`` gives.
+    """
+    first = key[0]
+    hot = hot_keys(df, first, hot_rows)
+
+    def sliced(rows: DataFrame) -> DataFrame:
+        cut = rows.withColumn(SLICE, time_slice(first, seconds, hot))
+        return running(cut, key, order, values, SLICE).drop(SLICE)
+
+    return apart(df, first, hot, lambda rows: running(rows, key, order, values), sliced)

@@ -31,37 +31,43 @@ def hot_workspaces(t, hot_rows: int = HOT_ROWS) -> list:
     )
 
 
-def _per_workspace(t, hot: list, finish) -> DataFrame:
-    """``finish(v1, v2, custom, subscription, hot)`` for normal and for hot workspaces."""
+def per_workspace(t, hot: list, step) -> DataFrame:
+    """``step(v1, v2, custom, subscription, hot)`` on normal and on hot workspaces."""
     logs = (t.subscription_event_log, t.subscription_event_log_v2, t.custom_eventlog, t.subscription)
     if not hot:
-        return finish(*logs, [])
+        return step(*logs, [])
     v1, v2, custom, subscription = logs
-    parts = [
-        finish(pick(v1, "workspaceid", hot), v2, pick(custom, "workspaceid", hot), pick(subscription, "workspaceid", hot), keys)
+    normal, heavy = [
+        step(pick(v1, "workspaceid", hot), v2, pick(custom, "workspaceid", hot), pick(subscription, "workspaceid", hot), keys)
         for pick, keys in ((without, []), (only, hot))
     ]
-    return parts[0].unionByName(parts[1].drop(SLICE))
+    return normal.unionByName(heavy.drop(SLICE))
 
 
-def event_log(t, hot: list, labels: Labels = SUBSCRIPTION, keep_plan_of=()) -> DataFrame:
-    def finish(v1, v2, custom, subscription, keys):
-        return events.event_log(v1, v2, custom, subscription, labels, keep_plan_of, keys)
+def gathered(t, step, labels: Labels = SUBSCRIPTION, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, list]:
+    """``step(events, slice_by)`` on all events, and the hot workspaces found."""
+    hot = hot_workspaces(t, hot_rows)
+
+    def on_events(v1, v2, custom, subscription, keys):
+        rows = events.gather(v1, v2, custom, subscription, labels, keys)
+        return step(rows, SLICE if keys else None)
+
+    return per_workspace(t, hot, on_events), hot
 
-    return _per_workspace(t, hot, finish)
+
+def event_log(t, labels: Labels = SUBSCRIPTION, hot_rows: int = HOT_ROWS, keep_plan_of=()) -> DataFrame:
+    return gathered(t, lambda rows, cut: events.finish_log(rows, labels, keep_plan_of, cut), labels, hot_rows)[0]
 
 
 def plan_groups(
     t, labels: Labels = SUBSCRIPTION, hot_rows: int = HOT_ROWS, keep_plan_of=()
 ) -> tuple[DataFrame, list]:
     """Events with their plan runs, and the workspaces too big for one task."""
-    hot = hot_workspaces(t, hot_rows)
 
-    def finish(v1, v2, custom, subscription, keys):
-        log = events.event_log(v1, v2, custom, subscription, labels, keep_plan_of, keys)
-        return periods.plan_groups(log, labels, SLICE if keys else None)
+    def step(rows, cut):
+        return periods.plan_groups(events.finish_log(rows, labels, keep_plan_of, cut), labels, cut)
 
-    return _per_workspace(t, hot, finish), hot
+    return gathered(t, step, labels, hot_rows)
 
 
 def staged_groups(t, hot_rows: int = HOT_ROWS) -> Groups:

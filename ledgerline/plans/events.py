@@ -1,6 +1,6 @@
 """One clean, ordered event log per workspace out of three raw logs.
 
-Every step after ``unify`` works on rows that sit together by workspace, so the
+Every step after ``gather`` works on rows that sit together by workspace, so the
 whole chain needs one shuffle of the log. ``slice_by`` names the slice column of
 hot workspaces (``operators.hot``); it is None when there are none.
 """
@@ -165,16 +165,6 @@ def hot_workspaces(
     return heaviest(counts, rows)
 
 
-def stack_logs(v1: DataFrame, v2: DataFrame, custom: DataFrame) -> DataFrame:
-    """All three logs in one shape. ``v2`` is already relabelled."""
-    return from_v1(v1).unionByName(v2).unionByName(from_custom(custom))
-
-
-def unify(v1: DataFrame, v2: DataFrame, custom: DataFrame) -> DataFrame:
-    """All three logs in one shape, equal rows once."""
-    return stack_logs(v1, v2, custom).distinct()
-
-
 def together(rows: DataFrame, hot: Sequence = ()) -> DataFrame:
     """Bring a workspace's events to one task (each time slice of a hot one)."""
     if not hot:
@@ -273,25 +263,30 @@ def remap_reset(
 OUTPUT = [c for c in COLUMNS if c != "logmicrosecondstamp"] + ["idx", "idx_inverse"]
 
 
-def event_log(
+def gather(
     v1: DataFrame,
     v2: DataFrame,
     custom: DataFrame,
     subscription: DataFrame,
     labels: Labels = SUBSCRIPTION,
-    keep_plan_of: Sequence[str] = (),
     hot: Sequence = (),
 ) -> DataFrame:
-    """The finished log. With ``hot`` workspaces it also carries their slice column.
+    """All events in one shape, equal rows once, those of a workspace together.
 
     The second log is shuffled by workspace for its relabelling. The others are
     brought to the same partitioning, which the union keeps: from here on no
-    event is shuffled again.
+    event is shuffled again. With ``hot`` workspaces the result carries their
+    slice column.
     """
-    slice_by = SLICE if hot else None
     renamed = drop_redelivered(relabel_v2(v2, subscription, labels, hot))
     first, own = together(from_v1(v1), hot), together(from_custom(custom), hot)
-    events = first.unionByName(renamed).unionByName(own).distinct()
+    return first.unionByName(renamed).unionByName(own).distinct()
+
+
+def finish_log(
+    events: DataFrame, labels: Labels = SUBSCRIPTION, keep_plan_of: Sequence[str] = (), slice_by: str | None = None
+) -> DataFrame:
+    """Gathered events with final names, plans and positions."""
     rows = relabel_events(index_events(events, slice_by), labels)
     rows = remap_migrated(rows, slice_by).withColumn("eventname", F.col("_named"))
     rows = remap_reset(rows, labels, keep_plan_of, slice_by)

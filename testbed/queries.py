@@ -16,8 +16,8 @@ from ledgerline.functions.identity import contact_kind as kind_of
 from ledgerline.functions.identity import mask_contact as masked
 from ledgerline.functions.identity import surrogate_id as stable_id
 from ledgerline.operators import intervals, matching
-from ledgerline.operators.hot import SLICE
-from ledgerline.operators.running import Previous, SumSoFar, running
+from ledgerline.operators.hot import SLICE, apart, hot_keys, only, without
+from ledgerline.operators.running import Previous, SumSoFar, running_measured
 from ledgerline.plans import billing, daily, events, periods, referral, titles
 from ledgerline.plans.events import PLAN, SUBSCRIPTION
 from ledgerline.sources import tables
@@ -158,7 +158,7 @@ def casts(t):
 def lateral_alias(t):
     one = F.lit(1).cast("decimal(19,2)")
     rows = (
-        daily.invoice_base(t)
+        tables.stage(daily.invoice_base(t), "invoice-base")
         .withColumnRenamed("id", "invoiceid")
         .withColumn("adj", -F.col("refundedamount"))
         .withColumn(
@@ -169,7 +169,7 @@ def lateral_alias(t):
         )
     )
     order = [F.asc_nulls_last("createdat"), F.desc_nulls_first("invoiceid"), F.asc("paymentid")]
-    rows = running(rows, ["workspaceid"], order, {"_sum": SumSoFar(F.col("diff"))})
+    rows = running_measured(rows, ["workspaceid"], dates.epoch_seconds(F.col("createdat")), order, {"_sum": SumSoFar(F.col("diff"))})
     return rows.select("invoiceid", "paymentid", "adj", "diff", (F.col("_sum") - F.col("diff")).alias("before"))
 
 
@@ -333,15 +333,29 @@ def join_left_range(t):
 def join_interval(t):
     runs = tables.stage(daily.subscription_periods(t), "periods")
     until = F.coalesce("subscription_end", dates.local_time(at(AS_OF)))
-    found = intervals.interval_join(
+    spans = runs.withColumn("_until", until).select("workspaceid", "planid", "subscription_start", "subscription_end", "_until")
+    both = t.payment_invoice.select("workspaceid").union(spans.select("workspaceid"))
+    hot = hot_keys(both, "workspaceid")
+
+    def join(rows, part, keys):
+        return intervals.interval_join(
+            rows,
+            part,
+            "workspaceid",
+            "createdat",
+            "subscription_start",
+            "_until",
+            ["planid", "subscription_start", "subscription_end"],
+            F.col("type") != "ONETIME",
+            keys,
+        ).drop(SLICE)
+
+    found = apart(
         t.payment_invoice,
-        runs.withColumn("_until", until),
         "workspaceid",
-        "createdat",
-        "subscription_start",
-        "_until",
-        ["planid", "subscription_start", "subscription_end"],
-        F.col("type") != "ONETIME",
+        hot,
+        lambda rows: join(rows, without(spans, "workspaceid", hot), []),
+        lambda rows: join(rows, only(spans, "workspaceid", hot), hot),
     )
     return found.select("id", "createdat", "planid", "subscription_start", "subscription_end")
 
@@ -416,9 +430,10 @@ def invoice_category_pivot(t):
 )
 def lag_values(t):
     plan = F.col("appliedplanplanid")
-    found = running(
+    found = running_measured(
         t.subscription_event_log_v2,
         ["subscriptionid"],
+        dates.epoch_seconds(F.col("logdatetimestamp")),
         [F.asc_nulls_last("logdatetimestamp"), F.asc("id")],
         {
             "prev_renewalcount": Previous(F.col("renewalcount")),
@@ -429,23 +444,25 @@ def lag_values(t):
     return found.select("id", "prev_renewalcount", "prev_planid", "prev_or_none")
 
 
-def named(t):
-    return events.relabel_v2(t.subscription_event_log_v2, t.subscription)
+def named(t, labels=SUBSCRIPTION, finish=lambda rows: rows):
+    def step(v1, v2, custom, subscription, hot):
+        return finish(events.relabel_v2(v2, subscription, labels, hot))
+
+    return daily.per_workspace(t, daily.hot_workspaces(t), step)
 
 
 @check(f"SELECT {_EVENT_COLUMNS} FROM v2_kept")
 def dedupe_events(t):
-    return events.drop_redelivered(named(t))
+    return named(t, finish=events.drop_redelivered)
 
 
-def unified(t, labels=SUBSCRIPTION):
-    named_v2 = events.relabel_v2(t.subscription_event_log_v2, t.subscription, labels)
-    return events.unify(t.subscription_event_log, events.drop_redelivered(named_v2), t.custom_eventlog)
+def unified(t):
+    return daily.gathered(t, lambda rows, cut: rows)[0]
 
 
 @check(f"SELECT {_EVENT_COLUMNS}, prev_nextplanid, idx, idx_inverse FROM positions")
 def event_positions(t):
-    return events.index_events(unified(t)).drop("_lastplanid")
+    return daily.gathered(t, events.index_events)[0].drop("_lastplanid")
 
 
 @check("SELECT * FROM touches")
@@ -459,7 +476,8 @@ def first_touch(t):
     ELSE row_number() OVER (PARTITION BY documentid ORDER BY participantid, due, contact NULLS LAST) END AS ordinal FROM staged"""
 )
 def signing_order(t):
-    return referral.signing_order(staged(t)).select("documentid", "participantid", "due", "ordinal")
+    rows = staged(t)
+    return referral.signing_order(rows, referral.slices_needed(rows)).select("documentid", "participantid", "due", "ordinal")
 
 
 _BALANCE = """SELECT workspaceid, id AS invoiceid, createdat AS datevalue, finalamount,
@@ -470,7 +488,8 @@ _BALANCE = """SELECT workspaceid, id AS invoiceid, createdat AS datevalue, final
 @check(_BALANCE)
 def running_balance_start(t):
     order = [F.asc_nulls_last("createdat"), F.desc_nulls_first("id")]
-    rows = running(t.payment_invoice, ["workspaceid"], order, {"_sum": SumSoFar(F.col("finalamount"))})
+    seconds = dates.epoch_seconds(F.col("createdat"))
+    rows = running_measured(t.payment_invoice, ["workspaceid"], seconds, order, {"_sum": SumSoFar(F.col("finalamount"))})
     return rows.select(
         "workspaceid",
         F.col("id").alias("invoiceid"),
@@ -487,7 +506,7 @@ def _balance_calendar(t):
         F.lit(None).cast("string").alias("paymentid"),
         F.lit(None).cast("timestamp_ntz").alias("subscription_start"),
     )
-    return billing.billing_calendar(rows)
+    return billing.billing_calendar(rows, hot_keys(t.payment_invoice, "workspaceid"))
 
 
 @check(
@@ -525,7 +544,7 @@ def unique_gate(t):
 
 @check(f"SELECT {_EVENT_COLUMNS} FROM stacked")
 def union_all_logs(t):
-    return events.from_v1(t.subscription_event_log).unionByName(events.drop_redelivered(named(t)))
+    return events.from_v1(t.subscription_event_log).unionByName(dedupe_events(t))
 
 
 @check(
@@ -634,11 +653,14 @@ def unified_events(t):
 
 @check(f"SELECT {_EVENT_COLUMNS} FROM v2_named", PLAN_LABELS)
 def relabel_v2_events(t):
-    return events.relabel_v2(t.subscription_event_log_v2, t.subscription, PLAN)
+    return named(t, PLAN)
 
 
 def remapped(t):
-    return events.remap_migrated(events.relabel_events(events.index_events(unified(t))))
+    def step(rows, cut):
+        return events.remap_migrated(events.relabel_events(events.index_events(rows, cut)), cut)
+
+    return daily.gathered(t, step)[0]
 
 
 @check("SELECT eventid, workspaceid, idx, coalesce(mapped_planid, planid) AS planid FROM migrated")
@@ -648,12 +670,13 @@ def migration_remap(t):
 
 @check("SELECT eventid, eventname FROM step1")
 def event_relabel(t):
-    return events.relabel_events(events.index_events(unified(t))).select("eventid", F.col("_named").alias("eventname"))
+    found, _ = daily.gathered(t, lambda rows, cut: events.relabel_events(events.index_events(rows, cut)))
+    return found.select("eventid", F.col("_named").alias("eventname"))
 
 
 @check(f"SELECT {_LOG_COLUMNS} FROM log")
 def reset_plan_remap(t):
-    return daily.event_log(t, daily.hot_workspaces(t)).drop(SLICE)
+    return daily.event_log(t)
 
 
 @check("SELECT * FROM rec")
@@ -708,7 +731,8 @@ def invoice_base(t):
 
 @check("SELECT * FROM vouchers")
 def voucher_positions(t):
-    return billing.voucher_positions(daily.invoice_base(t), daily.plan_attributes(t, "inner"))
+    base = tables.stage(daily.invoice_base(t), "invoice-base")
+    return billing.voucher_positions(base, daily.plan_attributes(t, "inner"), hot_keys(base, "workspaceid"))
 
 
 @check("SELECT * FROM allocated")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from ledgerline.operators import hot
-from ledgerline.operators.running import Latest, LatestOfAll, Previous, SumSoFar, TotalOfAll, running
+from ledgerline.operators.running import Latest, LatestOfAll, Previous, SumSoFar, TotalOfAll, running, running_measured
 from ledgerline.plans import billing, daily, periods, referral
 from ledgerline.plans.events import PLAN
 from testbed.adapters import AS_OF
@@ -49,6 +49,12 @@ def test_running_in_slices(numbers, backwards):
     assert rows(parts) == rows(whole)
 
 
+def test_running_measured(numbers):
+    order, values = [F.asc("s"), F.asc("i")], {"prev": Previous(F.col("v")), "sofar": SumSoFar(F.col("n"))}
+    whole = running(numbers, ["k"], order, values)
+    assert rows(running_measured(numbers, ["k"], F.col("s"), order, values, 200)) == rows(whole)
+
+
 def test_hot_keys(numbers):
     counts = {r["k"]: r["count"] for r in numbers.groupBy("k").count().collect()}
     assert hot.hot_keys(numbers, "k", counts["b"]) == ["a"]
@@ -66,7 +72,7 @@ def test_salted_lookup(spark, numbers):
 def test_event_log(t):
     busy = daily.hot_workspaces(t, FEW)
     assert 0 < len(busy) < t.subscription.count()
-    assert rows(daily.event_log(t, busy)) == rows(daily.event_log(t, []))
+    assert rows(daily.event_log(t, hot_rows=FEW)) == rows(daily.event_log(t))
 
 
 def test_plan_groups(t):
