@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.hot import HOT_ROWS, SLICE, hot_keys, only, without
-from ledgerline.plans import billing, events, periods, referral
+from ledgerline.plans import billing, events, periods, referral, titles
 from ledgerline.plans.events import SUBSCRIPTION, Labels
-from ledgerline.sources.tables import stage
+from ledgerline.sources.tables import append_rows, delete_where, replace_table, stage
 
 
 @dataclass(frozen=True)
@@ -99,25 +99,75 @@ def invoice_base(t, leave_out=()) -> DataFrame:
     )
 
 
-def invoice_adjusted(t, as_of: Column, leave_out=(), hot_rows: int = HOT_ROWS) -> tuple[DataFrame, list]:
-    """Adjusted invoices, and the workspaces with too many rows for one task."""
-    runs = stage(subscription_periods(t, hot_rows=hot_rows), "periods")
+def invoice_adjusted(
+    t, as_of: Column, leave_out=(), hot_rows: int = HOT_ROWS, runs: DataFrame | None = None
+) -> tuple[DataFrame, list]:
+    """Adjusted invoices, and the workspaces with too many rows for one task.
+
+    ``runs`` are the subscription periods, if they are stored already.
+    """
+    if runs is None:
+        runs = stage(subscription_periods(t, hot_rows=hot_rows), "periods")
     base = stage(invoice_base(t, leave_out), "invoice-base")
     both = base.select(F.coalesce("workspaceid", F.lit(billing.NO_WORKSPACE)).alias("workspaceid"))
     hot = hot_keys(both.union(runs.select("workspaceid")), "workspaceid", hot_rows)
     return billing.invoice_adjusted(base, plan_attributes(t, "inner"), runs, as_of, hot), hot
 
 
-def billing_rawdata(t, as_of: Column, leave_out=(), keep_unmatched: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
-    adjusted, hot = invoice_adjusted(t, as_of, leave_out, hot_rows)
+def billing_rawdata(
+    t,
+    as_of: Column,
+    leave_out=(),
+    keep_unmatched: bool = False,
+    hot_rows: int = HOT_ROWS,
+    runs: DataFrame | None = None,
+) -> DataFrame:
+    adjusted, hot = invoice_adjusted(t, as_of, leave_out, hot_rows, runs)
     ledger = billing.billing_ledger(stage(adjusted, "invoice-adjusted"), t.payment_refund_info)
     matched = billing.billing_matched(billing.billing_calendar(ledger, hot), t.payment_history, keep_unmatched)
     return billing.billing_rawdata(matched)
 
 
+def staged_participants(t, as_of: Column) -> DataFrame:
+    """The last month's participants, read by the deletion and by the insertion."""
+    return stage(referral.participants_stage(t.document_service, as_of), "participants-stage")
+
+
 def referral_attribution(t, as_of: Column, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
     """The refreshed participants and the users newly attributed to a contact."""
-    staged = referral.participants_stage(t.document_service, as_of)
+    staged = staged_participants(t, as_of)
     stored = stage(referral.participants_refresh(t.participant_data, staged, hot_rows), "participants")
     touches = referral.first_touch(stored, t.document_creation)
     return stored, referral.referral_attribution(touches, t.user_service, t.test_user, t.viral_effect_analysis)
+
+
+def titles_of_documents(t, done: DataFrame) -> DataFrame:
+    return titles.new_documents(t.document, t.service, t.test_user, done)
+
+
+def titles_of_templates(t, done: DataFrame | None = None) -> DataFrame:
+    return titles.new_templates(t.template, billing.excluded_workspaces(t.test_user, t.member), done)
+
+
+def run(t, folder: str, as_of: Column, contracts: DataFrame, forms: DataFrame, hot_rows: int = HOT_ROWS) -> None:
+    """One day's batch: write every result table below ``folder``.
+
+    Documents are classified once and appended; all other tables are replaced.
+    """
+    spark = contracts.sparkSession
+    replace_table(subscription_periods(t, hot_rows=hot_rows), f"{folder}/subscription_periods")
+    runs = spark.read.parquet(f"{folder}/subscription_periods")
+    replace_table(billing_rawdata(t, as_of, hot_rows=hot_rows, runs=runs), f"{folder}/payment_billing_rawdata")
+
+    participants, found = referral_attribution(t, as_of, hot_rows)
+    attributed = delete_where(t.viral_effect_analysis, F.col("id").isNull())
+    attributed = stage(attributed.unionByName(found, allowMissingColumns=True), "viral-effect")
+    replace_table(participants, f"{folder}/participant_data")
+    replace_table(attributed, f"{folder}/viral_effect_analysis")
+
+    fresh = stage(titles_of_documents(t, t.document_category), "titles")
+    templates = titles_of_templates(t)
+    append_rows(titles.contract_categories(fresh, contracts, "documentid"), f"{folder}/document_category")
+    append_rows(titles.form_categories(fresh, forms, "documentid"), f"{folder}/document_form_category")
+    replace_table(titles.contract_categories(templates, contracts, "templateid"), f"{folder}/template_category")
+    replace_table(titles.form_categories(templates, forms, "templateid"), f"{folder}/template_form_category")

@@ -245,7 +245,7 @@ def remap_reset(
     For each (workspace, former plan) the latest such reset counts. Events named
     in ``keep_plan_of`` keep their plan.
     """
-    rows = running(events, ["workspaceid"], _asc(), {"prev_planid": Previous(F.col("planid"))}, slice_by)
+    rows = running(events, ["workspaceid"], [F.asc("idx")], {"prev_planid": Previous(F.col("planid"))}, slice_by)
     moves = (F.col("eventname") == labels.reset) & (F.col("planid") != F.col("prev_planid"))
     itself = F.struct(F.col("planid").alias("plan"), F.lit(0).alias("kind"), F.lit(None).cast("string").alias("new"))
     moved = F.struct(F.col("prev_planid").alias("plan"), F.lit(1).alias("kind"), F.col("planid").alias("new"))

@@ -139,12 +139,12 @@ def first_touch(participants: DataFrame, documents: DataFrame, require_viewed: b
 
 
 def match_either_key(touches: DataFrame, users: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Pairs of touch and user for each key that equals the contact, stacked."""
-    pairs = [touches.join(users, touches["contact"] == users[key]) for key in keys]
-    rows = pairs[0]
-    for more in pairs[1:]:
-        rows = rows.unionByName(more)
-    return rows
+    """Pairs of touch and user, one for each key that equals the contact.
+
+    A user is entered once under each key, so one join serves all keys.
+    """
+    keyed = users.withColumn("_contact", F.explode(F.array(*keys)))
+    return touches.join(keyed, touches["contact"] == keyed["_contact"]).drop("_contact")
 
 
 def referral_attribution(

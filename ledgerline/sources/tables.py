@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, directory: str | None, name: str) -> DataFrame:
+    """A parquet table of a directory; without one, a table of the catalog."""
+    if directory is None:
+        return spark.table(name)
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 

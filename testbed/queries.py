@@ -467,7 +467,7 @@ def event_positions(t):
 
 @check("SELECT * FROM touches")
 def first_touch(t):
-    stored = referral.participants_refresh(t.participant_data, staged(t))
+    stored = referral.participants_refresh(t.participant_data, daily.staged_participants(t, at(BATCH)))
     return referral.first_touch(stored, t.document_creation)
 
 
@@ -794,7 +794,7 @@ def participants_stage(t):
 
 @check("SELECT * FROM refreshed")
 def participants_refresh(t):
-    return referral.participants_refresh(t.participant_data, staged(t))
+    return referral.participants_refresh(t.participant_data, daily.staged_participants(t, at(BATCH)))
 
 
 @check("SELECT * FROM attributed")
@@ -811,12 +811,11 @@ def dictionary(t):
 
 
 def _new_documents(t):
-    return titles.new_documents(t.document, t.service, t.test_user, t.document_category)
+    return daily.titles_of_documents(t, t.document_category)
 
 
 def _new_templates(t):
-    workspaces = billing.excluded_workspaces(t.test_user, t.member)
-    return titles.new_templates(t.template, workspaces, t.template_category)
+    return daily.titles_of_templates(t, t.template_category)
 
 
 @check("SELECT * FROM fresh_documents")
