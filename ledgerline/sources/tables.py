@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,13 +101,12 @@ def stage_dir(spark: SparkSession) -> str | None:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        import tempfile
+    return _local_dir() if spark.sparkContext.master.startswith("local") else None
 
-        folder = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    return None
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="run-")
 
 
 def stage_path(spark: SparkSession, label: str) -> str | None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from ledgerline.operators import hot
 from ledgerline.operators.running import Latest, LatestOfAll, Previous, SumSoFar, TotalOfAll, running, running_measured
-from ledgerline.plans import billing, daily, periods, referral
+from ledgerline.plans import billing, daily, referral
 from ledgerline.plans.events import PLAN
 from testbed.adapters import AS_OF
 from testbed.oracle import BATCH
