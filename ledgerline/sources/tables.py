@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
-from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,32 +94,31 @@ def delete_matching(stored: DataFrame, staged: DataFrame, on: Sequence[str], dif
     return delete_where(stored.join(ends, keys, "left"), hit).select(*stored.columns)
 
 
-def stage_dir(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names; a temporary one only in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    return _local_dir() if spark.sparkContext.master.startswith("local") else None
+FOLDER = "ledgerline.stage.dir"  # set by a caller whose session names no checkpoint folder
 
 
-@cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="run-")
+def stage_dir(spark: SparkSession) -> str:
+    """The shared folder the session names; there is no machine-local default.
+
+    Some steps read back what they staged while they replace its source, so
+    staging must never turn into a lazy frame: without a folder this fails.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(FOLDER, None)
+    if not folder:
+        raise ValueError(f"set spark.checkpoint.dir (or {FOLDER}) to a folder all executors share")
+    return folder.rstrip("/")
 
 
-def stage_path(spark: SparkSession, label: str) -> str | None:
-    folder = stage_dir(spark)
-    return f"{folder}/{label}-{uuid.uuid4().hex}" if folder else None
+def stage_path(spark: SparkSession, label: str) -> str:
+    return f"{stage_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a result that several steps read, and read it back.
 
     Cuts lineage, survives lost executors and lets each reader scan only its
-    columns. Without a shared folder the frame stays lazy.
+    columns.
     """
     path = stage_path(df.sparkSession, label)
-    if path is None:
-        return df
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
