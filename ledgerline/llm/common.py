@@ -67,19 +67,27 @@ def shingle_hashes(hashes: np.ndarray, length: int = 5) -> np.ndarray:
         return mix(total)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, target: str) -> DataFrame:
-    """`doc_id` and `label` of the rows that may be learnt from.
+def held_out(doc_id: Column) -> Column:
+    """Rows whose labels are never learnt from: crc32(doc_id as text) mod 3 is 1."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
 
-    Rows whose crc32(doc_id as text) mod 3 is 1 are held out. Several labels of
-    one document are averaged and rounded; missing ids or labels are left out.
+def training_rows(docs: DataFrame, labels: DataFrame, target: str, most: int) -> DataFrame:
+    """doc_id, text, label and part of about `most` labelled documents at most, drawn by a hash of the id.
+
+    Held-out rows are never drawn. Several labels of one document are averaged
+    and rounded; missing ids or labels are left out. `part` (0 to 3) is a second
+    draw, for parts that must not see each other. The drawn ids are broadcast:
+    their number is bounded by `most`, whatever the size of the tables.
     """
     known = (
-        labels.filter(F.col(target).isNotNull() & F.col("doc_id").isNotNull())
-        .groupBy("doc_id")
+        labels.filter(F.col(target).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.round(F.avg(target)).cast("int").alias("label"))
     )
-    return known.filter(~held_out(F.col("doc_id")))
-
-
-def held_out(doc_id: Column) -> Column:
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    share = min(1.0, 0.95 * most / max(1, known.count()))
+    drawn = known.filter(F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1 << 20)) < int(share * (1 << 20)))
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(4)).cast("int").alias("part")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
+        F.broadcast(drawn.select("doc_id", "label", part)), "doc_id"
+    )

@@ -205,12 +205,14 @@ def take_mix(docs: DataFrame, members: Column, seed: int = 17, **options) -> Dat
         .agg(F.max(F.when(F.col("copies") == F.col("_many"), F.col("draw"))).alias("_last"))
     )
     rule = F.broadcast(stage(last, "mix-rule").withColumnRenamed("members", "_members"))
+    names = [F.col(f"`{name}`") for name in docs.columns]
     copies = F.when(F.col("_draw") <= F.col("_last"), F.col("_many")).otherwise(F.col("_few")).cast("int")
     return (
         _keyed(docs, members, seed)
+        .select(F.struct(*names).alias("_row"), "_members", "_draw")
         .join(rule, "_members")
         .withColumn("_copies", copies)
         .filter(F.col("_copies") > 0)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*[F.col(f"`{name}`") for name in docs.columns])
+        .select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        .select("_row.*")
     )
