@@ -311,12 +311,14 @@ def linked(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """`docs` with one row of each component: that of the smallest id, ties to the smaller text hash.
+    """`docs` with one row of each component: that of the smallest id (a missing one last), ties to the
+    smaller text hash.
 
     Rows without words stay as they are. All columns are kept.
     """
-    first = linked(docs).filter("n > 0").groupBy("root").agg(F.min(F.struct("doc_id", "h1", "h2")).alias("first"))
-    first = stage(first.select("first.*").withColumnRenamed("doc_id", "least"), "jaccard-first")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")
+    first = linked(docs).filter("n > 0").groupBy("root").agg(F.min(order).alias("first"))
+    first = stage(first.select(F.col("first.doc_id").alias("least"), "first.h1", "first.h2"), "jaccard-first")
     text = F.col("_row.text")
     rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row"))
     marked = rows.withColumns({"h1": F.xxhash64(text), "h2": F.xxhash64(F.lit(1), text)})

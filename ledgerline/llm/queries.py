@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontamination, jaccard, mixing, pii, quality, search, sharding, toxicity, warc
+from ledgerline.llm import decontamination, extraction, jaccard, mixing, pii, quality, search, sharding, toxicity, warc
 from ledgerline.llm.common import held_out, table
 from ledgerline.sources.tables import stage_path
 
@@ -70,6 +70,12 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = extraction.main_text(F.col("html"), extraction.trained())
+    read = table(spark, sf_dir, "pages").select("page_id", "url", text.alias("text"))
+    return read.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_quality,
         op8_pseudonyms,
         op9_warc,
+        op10_main_text,
     )
 }
 
