@@ -9,7 +9,7 @@ bits in each block there would be 24. At a similarity of 0.8 about ten bits
 differ, so that limit is over four standard deviations away.
 
 A window at that similarity has at least 8 of 9 of its shingles in common with
-the item. A bit table of all (length, shingle) pairs of the benchmark tells which
+the item (a text shorter than the item 4 of 5 of the item's). A bit table of all (length, shingle) pairs of the benchmark tells which
 windows can have that many; only those are fingerprinted. The table has a fixed
 size; a larger benchmark only lets more windows through.
 """
@@ -42,9 +42,9 @@ def words_of(text: str | None) -> list[str]:
     return _WORDS.findall(text.lower()) if text else []
 
 
-def enough(shingles: int) -> int:
-    """Common shingles that a window of so many needs for the similarity."""
-    return -(-8 * shingles // 9)
+def enough(shingles: int, short: bool = False) -> int:
+    """Shingles of an item of so many that a window as long as it (or a shorter text) must have for the similarity."""
+    return -(-4 * shingles // 5) if short else -(-8 * shingles // 9)
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -93,7 +93,7 @@ def _items(items: DataFrame) -> DataFrame:
 
 def _windows(docs: DataFrame, lengths: list[int], table: np.ndarray) -> DataFrame:
     """Fingerprinted windows that can match an item of their length."""
-    least = min(enough(max(1, w - LENGTH + 1)) for w in lengths)
+    least = min(enough(max(1, w - LENGTH + 1), True) for w in lengths)
 
     def of_text(words: np.ndarray) -> Iterator[tuple[int, int, int, bytes]]:
         found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -110,7 +110,7 @@ def _windows(docs: DataFrame, lengths: list[int], table: np.ndarray) -> DataFram
             s, at = found[length]
             size = w - length + 1
             hits = at[table[_slot(s[at], w)]]
-            need = enough(size)
+            need = enough(size, len(s) < size)
             if len(hits) < need:
                 continue
             last = max(0, len(s) - size)  # a shorter text is one window as a whole

@@ -1,7 +1,7 @@
 """Toxicity scores: gradient-boosted trees over dense features, calibrated.
 
-The features are densities of two lexicons (a given list, and words that the
-training rows show to go with label 1), how near lexicon words stand to words
+The features are densities of two lexicons (a given list, and words and word
+beginnings that the training rows show to go with label 1), how near lexicon words stand to words
 of the second person, capitals, punctuation and obfuscation rates. The trees
 and the isotonic calibration see different labelled rows.
 """
@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import training_rows
 from ledgerline.sources.tables import stage
 
-MOST_ROWS = 20_000  # labelled documents drawn for training, about, at most
-MOST_LEARNT = 300  # words of the learnt lexicon
+MOST_ROWS = 12_000  # labelled documents drawn for training, about, at most
+MOST_LEARNT = 400  # entries of the learnt lexicon
+STEMS = (4, 5, 6, 7)  # word beginnings of these lengths can be entries, too, as "stem*"
 TREES = 40
 DEPTH = 3
 NEAR = 5  # words between a lexicon word and a second-person word
@@ -44,8 +45,9 @@ you your yours yourself yourselves u ur youre tu te toi ton ta tes vous votre vo
 deinen ihr euch euer tú ti tus usted ustedes vosotros vuestro
 """.split()
 
-_TOKENS = re.compile(r"[^\W_]+(?:[0-9@$!*+.\-_][^\W_]+)*[@$!*]*", re.UNICODE)
+_TOKENS = re.compile(r"[^\W_]+(?:[0-9@$!*+.\-_][^\W_]+)*")
 _PLAIN = str.maketrans("0134578@$!", "oieastbasi", "*+.-_")
+_MARKS = re.compile(r"[@$!*+.\-_]+")
 _SPACED = re.compile(r"(?<!\w)(?:\w[ .\-_*]){3,}\w(?!\w)")
 FEATURES = 17
 
@@ -61,6 +63,17 @@ class Features:
     def __init__(self, learnt: Sequence[str], insults: Sequence[str] = INSULTS) -> None:
         self.learnt, self.insults = frozenset(learnt), frozenset(insults)
         self.second = frozenset(SECOND_PERSON)
+        self._known: dict[str, bool] = {}
+
+    def _shown(self, word: str) -> bool:
+        """Whether a word or its beginning is in the learnt lexicon."""
+        known = self._known.get(word)
+        if known is None:
+            if len(self._known) > 300_000:
+                self._known.clear()
+            known = word in self.learnt or any(len(word) > n and word[:n] + "*" in self.learnt for n in STEMS)
+            self._known[word] = known
+        return known
 
     def __call__(self, text: str | None) -> list[float]:
         if not text:
@@ -69,7 +82,7 @@ class Features:
         low = [token.lower() for token in tokens]
         n = max(1, len(low))
         given = [i for i, word in enumerate(low) if word in self.insults]
-        shown = [i for i, word in enumerate(low) if word in self.learnt]
+        shown = [i for i, word in enumerate(low) if self._shown(word)]
         hidden = odd = 0
         for i, word in enumerate(low):
             if not word.isalpha() and not word.isdigit() and not word[0].isdigit():
@@ -78,6 +91,10 @@ class Features:
                 if form.isalpha() and (form in self.insults or form in self.learnt):
                     hidden += 1
                     given.append(i)
+                else:
+                    pieces = set(_MARKS.split(word))
+                    given += [i] * bool(pieces & self.insults)
+                    shown += [i] * bool(pieces & self.learnt)
         for spaced in _SPACED.findall(text):
             form = re.sub(r"[ .\-_*]", "", spaced).lower()
             hidden += form in self.insults or form in self.learnt
@@ -121,12 +138,17 @@ class Features:
 
 
 def learnt_words(rows: DataFrame) -> list[str]:
-    """Words that occur in far more documents of label 1 than their share, strongest first."""
+    """Words and stems that occur in far more documents of label 1 than their share, strongest first."""
     sizes = {row.label: row["count"] for row in rows.groupBy("label").count().collect()}
     ones, zeros = sizes.get(1, 0), sizes.get(0, 0)
-    words = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))))
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1)))
+    stems = [
+        F.transform(F.filter(words, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*")))
+        for n in STEMS
+    ]
+    entries = F.explode(F.concat(words, *[F.array_distinct(found) for found in stems]))
     counts = (
-        rows.select("label", words.alias("word"))
+        rows.select("label", entries.alias("word"))
         .groupBy("word")
         .agg(F.sum("label").alias("with"), F.count(F.lit(1)).alias("all"))
     )
@@ -187,10 +209,10 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", insults: Sequ
     kinds = {row.label for row in seen.select("label").distinct().collect()}
     if len(kinds) < 2:
         return Model(features, constant=float(next(iter(kinds), 0.5)))
-    trees = GBTClassifier(
-        featuresCol="_features", labelCol="label", predictionCol="_class", probabilityCol="_chance",
-        rawPredictionCol="_margin", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=11,
-    ).fit(seen)
+    learner = GBTClassifier(
+        featuresCol="_features", labelCol="label", predictionCol="_class", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=11
+    )
+    trees = learner.setProbabilityCol("_chance").setRawPredictionCol("_margin").fit(seen)
     checked = _raw(trees, unseen)
     levels = None
     if unseen.count():
