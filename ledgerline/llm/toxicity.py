@@ -9,7 +9,7 @@ and the isotonic calibration see different labelled rows.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -25,7 +25,7 @@ from ledgerline.sources.tables import stage
 MOST_ROWS = 12_000  # labelled documents drawn for training, about, at most
 MOST_LEARNT = 400  # entries of the learnt lexicon
 STEMS = (4, 5, 6, 7)  # word beginnings of these lengths can be entries, too, as "stem*"
-TREES = 40
+TREES = 25
 DEPTH = 3
 NEAR = 5  # words between a lexicon word and a second-person word
 SPAN = 50  # words of the window in which lexicon words are counted at their densest
@@ -49,7 +49,7 @@ _TOKENS = re.compile(r"[^\W_]+(?:[0-9@$!*+.\-_][^\W_]+)*")
 _PLAIN = str.maketrans("0134578@$!", "oieastbasi", "*+.-_")
 _MARKS = re.compile(r"[@$!*+.\-_]+")
 _SPACED = re.compile(r"(?<!\w)(?:\w[ .\-_*]){3,}\w(?!\w)")
-FEATURES = 17
+FEATURES = 19
 
 
 def plain_form(token: str) -> str:
@@ -60,19 +60,20 @@ def plain_form(token: str) -> str:
 class Features:
     """The feature vector of a text, for a given pair of lexicons."""
 
-    def __init__(self, learnt: Sequence[str], insults: Sequence[str] = INSULTS) -> None:
-        self.learnt, self.insults = frozenset(learnt), frozenset(insults)
+    def __init__(self, learnt: Mapping[str, float], insults: Sequence[str] = INSULTS) -> None:
+        self.learnt, self.insults = dict(learnt), frozenset(insults)
         self.second = frozenset(SECOND_PERSON)
-        self._known: dict[str, bool] = {}
+        self.strong = max(self.learnt.values(), default=1.0) / 2
+        self._known: dict[str, float] = {}
 
-    def _shown(self, word: str) -> bool:
-        """Whether a word or its beginning is in the learnt lexicon."""
+    def _weight(self, word: str) -> float:
+        """The strongest entry of the learnt lexicon that a word or its beginning meets; 0 for none."""
         known = self._known.get(word)
         if known is None:
             if len(self._known) > 300_000:
                 self._known.clear()
-            known = word in self.learnt or any(len(word) > n and word[:n] + "*" in self.learnt for n in STEMS)
-            self._known[word] = known
+            entries = [word, *(word[:n] + "*" for n in STEMS if len(word) > n)]
+            known = self._known[word] = max(self.learnt.get(entry, 0.0) for entry in entries)
         return known
 
     def __call__(self, text: str | None) -> list[float]:
@@ -82,7 +83,8 @@ class Features:
         low = [token.lower() for token in tokens]
         n = max(1, len(low))
         given = [i for i, word in enumerate(low) if word in self.insults]
-        shown = [i for i, word in enumerate(low) if self._shown(word)]
+        weights = [self._weight(word) for word in low]
+        shown = [i for i, weight in enumerate(weights) if weight >= self.strong]
         hidden = odd = 0
         for i, word in enumerate(low):
             if not word.isalpha() and not word.isdigit() and not word[0].isdigit():
@@ -94,7 +96,7 @@ class Features:
                 else:
                     pieces = set(_MARKS.split(word))
                     given += [i] * bool(pieces & self.insults)
-                    shown += [i] * bool(pieces & self.learnt)
+                    shown += [i] * any(self._weight(piece) >= self.strong for piece in pieces)
         for spaced in _SPACED.findall(text):
             form = re.sub(r"[ .\-_*]", "", spaced).lower()
             hidden += form in self.insults or form in self.learnt
@@ -113,6 +115,8 @@ class Features:
             float(np.log1p(len(given))),
             100.0 * len(shown) / n,
             float(np.log1p(len(shown))),
+            100.0 * sum(weights) / n / (2 * self.strong),
+            100.0 * sum(1 for weight in weights if weight > 0) / n,
             float(len({low[i] for i in given + shown})),
             near / max(1, len(hits)),
             100.0 * near / n,
@@ -137,16 +141,17 @@ class Features:
         return compute(text)
 
 
-def learnt_words(rows: DataFrame) -> list[str]:
-    """Words and stems that occur in far more documents of label 1 than their share, strongest first."""
+def learnt_words(rows: DataFrame) -> dict[str, float]:
+    """Words and stems that occur in far more documents of label 1 than their share, with their z-scores."""
     sizes = {row.label: row["count"] for row in rows.groupBy("label").count().collect()}
     ones, zeros = sizes.get(1, 0), sizes.get(0, 0)
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1)))
-    stems = [
-        F.transform(F.filter(words, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*")))
-        for n in STEMS
-    ]
-    entries = F.explode(F.concat(words, *[F.array_distinct(found) for found in stems]))
+
+    def stems(n: int) -> Column:
+        longer = F.filter(words, lambda word: F.length(word) > n)
+        return F.array_distinct(F.transform(longer, lambda word: F.concat(F.substring(word, 1, n), F.lit("*"))))
+
+    entries = F.explode(F.concat(words, *[stems(n) for n in STEMS]))
     counts = (
         rows.select("label", entries.alias("word"))
         .groupBy("word")
@@ -157,7 +162,7 @@ def learnt_words(rows: DataFrame) -> list[str]:
     spread = F.sqrt(1 / (F.col("with") + 0.5) + 1 / (low + 0.5))
     strong = counts.filter(F.col("with") >= 5).withColumn("z", odds / spread).filter((F.col("z") > 3) & (odds > 1.5))
     best = strong.orderBy(F.desc("z"), "word").limit(MOST_LEARNT)
-    return [row.word for row in best.select("word").collect()]
+    return {row.word: row.z for row in best.select("word", "z").collect()}
 
 
 class Model:
@@ -210,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", insults: Sequ
     if len(kinds) < 2:
         return Model(features, constant=float(next(iter(kinds), 0.5)))
     learner = GBTClassifier(
-        featuresCol="_features", labelCol="label", predictionCol="_class", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=11
+        featuresCol="_features", labelCol="label", predictionCol="_class", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=11
     )
     trees = learner.setProbabilityCol("_chance").setRawPredictionCol("_margin").fit(seen)
     checked = _raw(trees, unseen)

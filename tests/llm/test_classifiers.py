@@ -93,10 +93,10 @@ def test_toxicity_edges(spark):
 
 
 def test_toxic_features():
-    f = toxicity.Features(["plonk"], ["idiot", "scum"])
+    f = toxicity.Features({"plonk": 8.0, "grumb*": 7.0, "weak": 1.0}, ["idiot", "scum"])
     assert f(None) == f("") == [0.0] * toxicity.FEATURES
     plain, near = f("the idiot was there with no one"), f("you are an idiot")
-    assert near[5] == 1.0 and plain[5] == 0.0 and near[0] > 0
+    assert near[7] == 1.0 and plain[7] == 0.0 and near[0] > 0
     hidden = f("such an 1d10t and s.c.u.m and i d i o t")
-    assert hidden[15] == 3 and hidden[0] > 0
-    assert f("PLONK!!")[2] == 100.0
+    assert hidden[17] == 3 and hidden[0] > 0
+    assert f("PLONK!!")[2] == f("grumbles")[2] == 100.0 and f("grumb weak")[2] == 0.0
