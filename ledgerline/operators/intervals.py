@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.dates import epoch_seconds
 from ledgerline.operators.hot import SLICE, time_slice
 from ledgerline.operators.running import Latest, Previous, running
+from ledgerline.sources.tables import stage
 
 
 def interval_join(
@@ -26,16 +27,16 @@ def interval_join(
     """Left join facts to the half-open intervals ``[start, end)`` around ``at``.
 
     ``end`` must be filled in. ``carry`` names the interval columns to add; facts
-    for which ``applies`` is not true get NULLs. Intervals of a key normally
-    follow each other, so the last one to start decides: facts and starts are
-    put in time order and each fact sees the start before it. Where an interval
-    runs past the next start, the part that runs over is joined separately;
-    whether there is any is looked up first. ``intervals`` is read several
-    times: pass a staged frame. With ``hot`` keys the result carries their slice
-    column.
+    for which ``applies`` is not true, or whose key is NULL, get NULLs. Intervals
+    of a key normally follow each other, so the last one to start decides: facts
+    and starts are put in time order and each fact sees the start before it.
+    Where an interval runs past the next start, the part that runs over is
+    joined separately. ``intervals`` is read several times: pass a staged frame.
+    With ``hot`` keys the result carries their slice column.
     """
     slice_by = SLICE if hot else None
     applies = F.lit(True) if applies is None else applies
+    intervals = intervals.where(F.col(key).isNotNull())
     info = F.struct(F.col(start).alias("start"), F.col(end).alias("end"), *carry)
     starts = intervals.select(F.col(key), F.col(start).alias("_t"), info.alias("_iv")).where(F.col("_t").isNotNull())
     points = facts.withColumn("_t", F.col(at)).withColumn("_fact", F.lit(True))
@@ -47,9 +48,8 @@ def interval_join(
     seen = running(rows, [key], order, {"_last": Latest(F.col("_iv"))}, slice_by).where("_fact")
     inside = F.col("_last.end") > F.col(at)
     seen = seen.withColumn("_hit", F.when(applies & inside, F.col("_last"))).drop("_t", "_fact", "_iv", "_last")
-    over = _overhang(intervals.select(key, info.alias("_iv")), key, hot)
-    if not over.isEmpty():
-        seen = _add_overhang(seen, over, key, at, applies)
+    over = stage(_overhang(intervals.select(key, info.alias("_iv")), key, hot), "interval-overhang")
+    seen = _add_overhang(stage(seen, "interval-facts"), over, key, at, applies)
     keep = [*facts.columns, *([slice_by] if slice_by else [])]
     return seen.select(*keep, *[F.col(f"_hit.{c}").alias(c) for c in carry])
 
@@ -66,7 +66,7 @@ def _overhang(intervals: DataFrame, key: str, hot: Sequence) -> DataFrame:
 def _add_overhang(seen: DataFrame, over: DataFrame, key: str, at: str, applies) -> DataFrame:
     hit = (
         applies
-        & seen[key].eqNullSafe(over[key])
+        & (seen[key] == over[key])
         & (over["_next"] <= seen[at])
         & (seen[at] < over["_over.end"])
     )

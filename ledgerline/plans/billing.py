@@ -214,7 +214,7 @@ def _adjust(invoices: DataFrame, intervals: DataFrame, hot: Sequence = ()) -> Da
     item = ["workspaceid", "purchaseitemid"]
     rows = running(rows.withColumn("_amount", amount), item, order, {"alter_price": LatestOfAll(F.col("_amount"))}, slice_by)
     rows = rows.where(~F.col("is_voucher") | F.col("alter_price").isNotNull())
-    money = T.DecimalType(21, 2)
+    money = T.DecimalType(27, 8)
     value = F.col("alter_price").cast(money)
     rows = rows.withColumn("adj_finalamount", F.coalesce(value, F.col("finalamount")).cast(money)).withColumn(
         "adj_refundedamount", (-F.coalesce(value, F.col("refundedamount"))).cast(money)
@@ -283,7 +283,7 @@ def billing_ledger(adjusted: DataFrame, refunds: DataFrame) -> DataFrame:
     ``adjusted`` is read twice: pass a staged frame.
     """
     each = refunds.select("paymentid", F.col("refundedat").alias("_at"), F.col("amount").alias("_back"))
-    paid = adjusted.select("*", F.lit("PAID").alias("_kind"), F.col("createdat").alias("datevalue"), F.lit(None).cast("decimal(19,2)").alias("_back"))
+    paid = adjusted.select("*", F.lit("PAID").alias("_kind"), F.col("createdat").alias("datevalue"), F.lit(None).cast(refunds.schema["amount"].dataType).alias("_back"))
     refunded = adjusted.join(each, "paymentid").select(
         *[adjusted[c] for c in adjusted.columns], F.lit("REFUNDED").alias("_kind"), F.col("_at").alias("datevalue"), "_back"
     )

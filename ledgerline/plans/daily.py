@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.hot import HOT_ROWS, SLICE, hot_keys, only, without
 from ledgerline.plans import billing, events, periods, referral, titles
 from ledgerline.plans.events import SUBSCRIPTION, Labels
-from ledgerline.sources.tables import append_rows, delete_where, replace_table, stage
+from ledgerline.sources.tables import append_new, append_rows, delete_where, replace_table, stage
 
 
 @dataclass(frozen=True)
@@ -152,7 +153,9 @@ def titles_of_templates(t, done: DataFrame | None = None) -> DataFrame:
 def run(t, folder: str, as_of: Column, contracts: DataFrame, forms: DataFrame, hot_rows: int = HOT_ROWS) -> None:
     """One day's batch: write every result table below ``folder``.
 
-    Documents are classified once and appended; all other tables are replaced.
+    Documents are classified once per table and appended; all other tables are
+    replaced. Contract and form categories each go by their own table, so either
+    can be filled in later.
     """
     spark = contracts.sparkSession
     replace_table(subscription_periods(t, hot_rows=hot_rows), f"{folder}/subscription_periods")
@@ -165,9 +168,26 @@ def run(t, folder: str, as_of: Column, contracts: DataFrame, forms: DataFrame, h
     replace_table(participants, f"{folder}/participant_data")
     replace_table(attributed, f"{folder}/viral_effect_analysis")
 
-    fresh = stage(titles_of_documents(t, t.document_category), "titles")
+    contract = titles_of_documents(t, t.document_category)
+    form = titles_of_documents(t, t.document_form_category)
     templates = titles_of_templates(t)
-    append_rows(titles.contract_categories(fresh, contracts, "documentid"), f"{folder}/document_category")
-    append_rows(titles.form_categories(fresh, forms, "documentid"), f"{folder}/document_form_category")
+    append_new_rows(titles.contract_categories(contract, contracts, "documentid"), f"{folder}/document_category")
+    append_new_rows(titles.form_categories(form, forms, "documentid"), f"{folder}/document_form_category")
     replace_table(titles.contract_categories(templates, contracts, "templateid"), f"{folder}/template_category")
     replace_table(titles.form_categories(templates, forms, "templateid"), f"{folder}/template_form_category")
+
+
+def append_new_rows(rows: DataFrame, path: str) -> None:
+    """Append the documents that the table at ``path`` does not hold yet.
+
+    The table is looked at when it is written, so a run that stopped half-way
+    can be repeated.
+    """
+    try:
+        held = rows.sparkSession.read.schema("documentid string").parquet(path)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        append_rows(rows, path)
+        return
+    append_rows(stage(append_new(rows, held, "documentid"), "titles"), path)

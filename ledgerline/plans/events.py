@@ -214,7 +214,9 @@ def remap_migrated(events: DataFrame, slice_by: str | None = None) -> DataFrame:
         F.desc("eventid"),
     ]
     found = running(probes, ["workspaceid", "_plan"], backwards, {"_new": Latest(F.col("_p.new"))}, slice_by, True)
-    found = found.where("_p.kind = 0").withColumn("mapped_planid", F.col("_new.to"))
+    # rows without a workspace lie in one window, but belong to no migration
+    mapped = F.when(F.col("workspaceid").isNotNull(), F.col("_new.to"))
+    found = found.where("_p.kind = 0").withColumn("mapped_planid", mapped)
     return found.withColumn("planid", F.coalesce("mapped_planid", "planid")).drop("_p", "_plan", "_new", "_lastplanid")
 
 
@@ -254,6 +256,7 @@ def remap_reset(
     order = [F.asc("idx"), F.asc("_p.kind")]
     found = running(probes, ["workspaceid", "_plan"], order, {"reset_planid": LatestOfAll(F.col("_p.new"))}, slice_by)
     found = found.where("_p.kind = 0").drop("_p", "_plan")
+    found = found.withColumn("reset_planid", F.when(F.col("workspaceid").isNotNull(), F.col("reset_planid")))
     plan = F.coalesce("reset_planid", "planid")
     if keep_plan_of:
         plan = F.when(F.col("eventid").isin(*keep_plan_of), F.col("planid")).otherwise(plan)

@@ -159,8 +159,9 @@ UNION ALL SELECT DISTINCT 'p' || o_orderpriority, '2', 'PRIORITY_' || o_orderpri
 UNION ALL SELECT DISTINCT 'n' || {_s('n_nationkey')}, '3', n_name FROM {{nation}}""",
         "payment_invoice": f"""
 SELECT 'i' || {_s('o_orderkey')} AS id, CASE o_orderstatus WHEN 'F' THEN 'REGULAR' WHEN 'O' THEN 'UPGRADE' ELSE 'ONETIME' END AS type,
-  'w' || {_s('o_custkey')} AS workspaceid, CAST(o_totalprice AS DECIMAL(19,2)) AS amount,
-  CAST(CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_totalprice END AS DECIMAL(19,2)) AS finalamount,
+  'w' || {_s('o_custkey')} AS workspaceid, CAST(o_totalprice AS DECIMAL(19,8)) AS amount,
+  CAST(CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE CAST(o_totalprice AS DECIMAL(18,8))
+    + CAST(o_orderkey % 100 AS DECIMAL(3,0)) * CAST(0.00000001 AS DECIMAL(8,8)) END AS DECIMAL(19,8)) AS finalamount,
   {invoice_time} AS createdat FROM {{orders}}""",
         "payment_service": f"""
 SELECT 'pay' || {_s('o_orderkey')} AS id, 'i' || {_s('o_orderkey')} AS invoiceid,
@@ -234,11 +235,15 @@ SELECT 'd' || {_s('o_orderkey')} AS id, 'u' || {_s('o_custkey')} AS userid, 'w'
 SELECT 'd' || {_s('o_orderkey')} AS id, p_name AS title FROM {{orders}} JOIN {{part}} ON p_partkey = o_custkey WHERE p_size < 45""",
         "document_category": f"""
 SELECT 'd' || {_s('o_orderkey')} AS documentid FROM {{orders}} WHERE o_orderstatus = 'F'""",
+        "document_form_category": f"""
+SELECT 'd' || {_s('o_orderkey')} AS documentid FROM {{orders}} WHERE o_orderstatus = 'O'""",
         "template": f"""
 SELECT 't' || {_s('p_partkey')} AS id, 'w' || {_s('p_partkey')} AS workspaceid, 'm' || {_s('p_partkey')} AS memberid,
   p_name AS title, TIMESTAMP '2024-01-01 00:00:00' + p_size * INTERVAL '1' DAY AS createdat FROM {{part}}""",
         "template_category": f"""
 SELECT 't' || {_s('p_partkey')} AS templateid FROM {{part}} WHERE p_brand = 'Brand#7'""",
+        "template_form_category": f"""
+SELECT 't' || {_s('p_partkey')} AS templateid FROM {{part}} WHERE p_brand = 'Brand#9'""",
     }
 
 

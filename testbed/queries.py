@@ -156,16 +156,17 @@ def casts(t):
       CASE WHEN refundedamount IS NULL THEN greatest(finalamount, NULL, 1) ELSE finalamount - refundedamount END AS diff FROM base b)"""
 )
 def lateral_alias(t):
-    one = F.lit(1).cast("decimal(19,2)")
+    money = T.DecimalType(27, 8)
+    one = F.lit(1).cast(money)
     rows = (
         tables.stage(daily.invoice_base(t), "invoice-base")
         .withColumnRenamed("id", "invoiceid")
         .withColumn("adj", -F.col("refundedamount"))
         .withColumn(
             "diff",
-            F.when(F.col("adj").isNull(), F.greatest("finalamount", F.lit(None).cast("decimal(19,2)"), one)).otherwise(
-                F.col("finalamount") + F.col("adj")
-            ),
+            F.when(F.col("adj").isNull(), F.greatest("finalamount", F.lit(None).cast(money), one))
+            .otherwise(F.col("finalamount") + F.col("adj"))
+            .cast(money),
         )
     )
     order = [F.asc_nulls_last("createdat"), F.desc_nulls_first("invoiceid"), F.asc("paymentid")]
@@ -849,11 +850,36 @@ def template_contract_category(t):
     return titles.nouns_as_text(titles.contract_categories(_new_templates(t), dictionary(t), "templateid"))
 
 
-@check(f"{_DOC}, {_first_category(0)} AS category1 FROM document_nouns")
+@check(f"{_DOC}, {_first_category(0)} AS category1 FROM form_document_nouns")
 def form_category(t):
-    return titles.nouns_as_text(titles.form_categories(_new_documents(t), dictionary(t), "documentid"))
+    fresh = daily.titles_of_documents(t, t.document_form_category)
+    return titles.nouns_as_text(titles.form_categories(fresh, dictionary(t), "documentid"))
 
 
-@check(f"{_TEMPLATE}, {_first_category(0)} AS category1 FROM template_nouns")
+@check(f"{_TEMPLATE}, {_first_category(0)} AS category1 FROM form_template_nouns")
 def template_form_category(t):
-    return titles.nouns_as_text(titles.form_categories(_new_templates(t), dictionary(t), "templateid"))
+    fresh = daily.titles_of_templates(t, t.template_form_category)
+    return titles.nouns_as_text(titles.form_categories(fresh, dictionary(t), "templateid"))
+
+
+def _part_words(t):
+    word = F.split_part("p_name", F.lit(" "), F.lit(1)).alias("noun")
+    return t.raw("part").groupBy(word).agg(F.max("p_brand").alias("brand"))
+
+
+@check("SELECT split_part(p_name, ' ', 1) AS noun, max(p_brand) AS category1 FROM part GROUP BY split_part(p_name, ' ', 1)")
+def category_map(t):
+    """A category map of the words of part names, written as one JSON object and loaded."""
+    path = tables.stage_path(t.spark, "category-map")
+    entries = F.map_from_entries(F.collect_list(F.struct("noun", "brand")))
+    _part_words(t).agg(F.to_json(entries).alias("value")).write.text(path)
+    return tables.load_category_map(t.spark, path)
+
+
+@check("SELECT DISTINCT split_part(p_name, ' ', 1) AS noun FROM part")
+def noun_list(t):
+    """A noun list of the words of part names, written with their tags and loaded."""
+    path = tables.stage_path(t.spark, "noun-list")
+    gap = F.when(F.length("noun") % 2 == 0, "\t").otherwise("   ")
+    _part_words(t).select(F.concat("noun", gap, F.lit("NNG")).alias("value")).write.text(path)
+    return tables.load_noun_list(t.spark, path)
