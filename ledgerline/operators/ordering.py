@@ -17,14 +17,14 @@ from pyspark.sql import functions as F
 from ledgerline.sources.tables import stage
 
 
-def cut(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:
+def cut(df: DataFrame, order: Sequence[str | Column], label: str) -> DataFrame:
     """`df` stored in range parts over `order`, with the part number in `_part`."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
     return stage(ranged, label)
 
 
-def positions(stored: DataFrame, order: Sequence[str], size: Column | None = None) -> DataFrame:
+def positions(stored: DataFrame, order: Sequence[str | Column], size: Column | None = None) -> DataFrame:
     """A stored cut with `_row`, the position from 0, and `_before`, the sum of `size` over the rows before."""
     amount = F.lit(0).cast("long") if size is None else size.cast("long")
     sized = stored.withColumn("_size", amount)

@@ -134,10 +134,10 @@ def staged_participants(t, as_of: Column) -> DataFrame:
     return stage(referral.participants_stage(t.document_service, as_of), "participants-stage")
 
 
-def referral_attribution(t, as_of: Column, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+def referral_attribution(t, as_of: Column) -> tuple[DataFrame, DataFrame]:
     """The refreshed participants and the users newly attributed to a contact."""
     staged = staged_participants(t, as_of)
-    stored = stage(referral.participants_refresh(t.participant_data, staged, hot_rows), "participants")
+    stored = stage(referral.participants_refresh(t.participant_data, staged), "participants")
     touches = referral.first_touch(stored, t.document_creation)
     return stored, referral.referral_attribution(touches, t.user_service, t.test_user, t.viral_effect_analysis)
 
@@ -162,7 +162,7 @@ def run(t, folder: str, as_of: Column, contracts: DataFrame, forms: DataFrame, h
     runs = spark.read.parquet(f"{folder}/subscription_periods")
     replace_table(billing_rawdata(t, as_of, hot_rows=hot_rows, runs=runs), f"{folder}/payment_billing_rawdata")
 
-    participants, found = referral_attribution(t, as_of, hot_rows)
+    participants, found = referral_attribution(t, as_of)
     attributed = delete_where(t.viral_effect_analysis, F.col("id").isNull())
     attributed = stage(attributed.unionByName(found, allowMissingColumns=True), "viral-effect")
     replace_table(participants, f"{folder}/participant_data")

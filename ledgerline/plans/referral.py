@@ -5,15 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import local_time, recent_since
 from ledgerline.functions.identity import contact_kind, mask_contact
-from ledgerline.operators.hot import HOT_ROWS, SLICE, hot_keys
 from ledgerline.operators.matching import first_per
-from ledgerline.operators.running import SumSoFar, running
-from ledgerline.sources.tables import append_new, delete_matching, scan_entities, stage
+from ledgerline.operators.ordering import cut, positions
+from ledgerline.sources.tables import append_new, delete_matching, scan_entities
 
 # Entity kind, key prefix and roles of participants.
 KIND = "Participant"
@@ -52,28 +50,25 @@ def participants_stage(items: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def signing_order(rows: DataFrame, slices: int = 0) -> DataFrame:
+def signing_order(rows: DataFrame) -> DataFrame:
     """Order to sign within a document: 1 for the earliest deadline, else the position by id.
 
-    ``slices`` above zero is for documents too big for one task: rows are cut
-    into that many key ranges, staged, and counted range by range.
+    Positions are taken over the whole table and counted from the document's
+    first one, so a document of any size is spread over many tasks.
     """
-    slice_by = None
-    if slices:
-        ranged = rows.repartitionByRange(slices, F.asc("documentid"), F.asc_nulls_last("participantid"))
-        rows = stage(ranged.withColumn(SLICE, F.spark_partition_id().cast("bigint")), "signing-order")
-        slice_by = SLICE
-    place = [F.asc_nulls_last("participantid"), F.asc_nulls_last("due"), F.asc_nulls_last("contact")]
-    rows = running(rows, ["documentid"], place, {"_place": SumSoFar(F.lit(1).cast("bigint"))}, slice_by)
-    if slices:
-        earliest = rows.groupBy("documentid").agg(F.min("due").alias("_earliest"))
-        rows = rows.join(earliest, "documentid", "left")
-    else:
-        rows = rows.withColumn("_earliest", F.min("due").over(W.partitionBy("documentid")))
+    order = [
+        F.asc("documentid"),
+        F.asc_nulls_last("participantid"),
+        F.asc_nulls_last("due"),
+        F.asc_nulls_last("contact"),
+        F.asc("_tie"),
+    ]
+    placed = positions(cut(rows.withColumn("_tie", F.monotonically_increasing_id()), order, "signing-order"), order)
+    starts = placed.groupBy("documentid").agg(F.min("_row").alias("_start"), F.min("due").alias("_earliest"))
+    place = F.col("_row") - F.col("_start") + 1
     first = F.col("due").eqNullSafe(F.col("_earliest"))
-    return rows.withColumn("ordinal", F.when(first, F.lit(1).cast("bigint")).otherwise(F.col("_place"))).drop(
-        "_place", "_earliest", SLICE
-    )
+    ordinal = F.when(first, F.lit(1).cast("bigint")).otherwise(place)
+    return placed.join(starts, "documentid").withColumn("ordinal", ordinal).select(*rows.columns, "ordinal")
 
 
 STORED = [
@@ -92,17 +87,10 @@ STORED = [
 ]
 
 
-def slices_needed(rows: DataFrame, hot_rows: int = HOT_ROWS) -> int:
-    """Key ranges to cut documents into: none unless one is too big for a task."""
-    if not hot_keys(rows, "documentid", hot_rows):
-        return 0
-    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def new_participants(staged: DataFrame, stored: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def new_participants(staged: DataFrame, stored: DataFrame) -> DataFrame:
     """Staged participants not stored yet, in order and with masked contacts."""
     fresh = append_new(staged, stored, "participantid")
-    rows = signing_order(fresh, slices_needed(staged, hot_rows))
+    rows = signing_order(fresh)
     masked = mask_contact(F.col("contact"), F.col("contactinfo"))
     return rows.withColumn("contact", masked).select(*STORED)
 
@@ -112,10 +100,10 @@ def participants_delete(stored: DataFrame, staged: DataFrame) -> DataFrame:
     return delete_matching(stored, staged, ["documentid"], "participantid")
 
 
-def participants_refresh(stored: DataFrame, staged: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def participants_refresh(stored: DataFrame, staged: DataFrame) -> DataFrame:
     """The stored table after the day's run."""
     kept = participants_delete(stored, staged)
-    return kept.select(*STORED).unionByName(new_participants(staged, kept, hot_rows))
+    return kept.select(*STORED).unionByName(new_participants(staged, kept))
 
 
 def first_touch(participants: DataFrame, documents: DataFrame, require_viewed: bool = False) -> DataFrame:

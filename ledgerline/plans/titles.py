@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.operators.matching import not_in
@@ -17,8 +18,6 @@ from ledgerline.sources.tables import append_new
 # Category of a title without a known noun ("other").
 OTHER = "기타"
 
-PATTERN_NOUNS = 5_000
-
 DOCUMENT = ["documentid", "userid", "workspaceid", "estimated_workspaceid", "createdat"]
 TEMPLATE = ["templateid", "workspaceid", "memberid", "title", "createdat"]
 
@@ -73,12 +72,6 @@ def title_nouns(title: Column, nouns: list[str], whole_words: bool = False) -> C
     return F.regexp_extract_all(clean_title(title), F.lit(pattern), F.lit(1))
 
 
-def _dictionary(dictionary: DataFrame) -> list | None:
-    """The dictionary's rows if it is small enough for one pattern, else None."""
-    rows = dictionary.limit(PATTERN_NOUNS + 1).collect()
-    return rows if len(rows) <= PATTERN_NOUNS else None
-
-
 def classify(
     titles: DataFrame,
     dictionary: DataFrame,
@@ -88,76 +81,74 @@ def classify(
 ) -> DataFrame:
     """Add ``nouns`` and one column per category of the first categorised noun.
 
-    ``dictionary`` has one row per noun (see ``noun_dictionary``).
-
-    A dictionary of up to ``PATTERN_NOUNS`` nouns becomes one pattern and a map
-    inside the scan. A larger one is joined to the title's substrings.
+    ``dictionary`` has one row per noun (see ``noun_dictionary``); of repeated
+    nouns the one with the largest categories counts. At each place of a title
+    the substrings of the lengths that nouns have are looked up; the longest
+    noun at the first place is taken, then the search goes on behind it. With
+    ``whole_words`` a noun must not touch letters or digits that continue it.
+    Only hits carry on, by key and place, never the title.
     """
     titles = titles.where(F.col(key).isNotNull() & (F.col(key) != ""))
-    rows = _dictionary(dictionary)
-    if rows is None:
-        return _classify_by_join(titles, dictionary, categories, key)
-    found = titles.withColumn("nouns", title_nouns(F.col("title"), [r["noun"] for r in rows], whole_words))
-    first = categories[0]
-    known = [F.lit(r["noun"]) for r in rows if r[first] is not None]
-    if not known:
-        return found.select("*", *[F.lit(OTHER).alias(c) for c in categories])
-    entries = [
-        F.struct(F.lit(r["noun"]).alias("noun"), *[F.lit(r[c]).alias(c) for c in categories])
-        for r in rows
-        if r[first] is not None
-    ]
-    book = F.map_from_arrays(F.array(*known), F.array(*entries))
-    decides = F.get(F.filter("nouns", lambda noun: F.map_contains_key(book, noun)), F.lit(0))
-    found = found.withColumn("_hit", F.try_element_at(book, decides))
+    merged = [F.max(c).alias(c) for c in categories]
+    nouns = dictionary.where(F.length("noun") > 0).groupBy("noun").agg(*merged)
+    lengths = nouns.agg(F.array_sort(F.collect_set(F.length("noun")))).scalar()
+    firsts = nouns.agg(F.collect_set(F.substring("noun", 1, 1))).scalar()
+    text = clean_title(F.col("title"))
+    one = [key, "_text"]  # the key, and a hash of the title in case a key has several
+    named = titles.withColumn("_text", F.xxhash64(text))
+    pieces = (
+        named.select(*one, text.alias("t"))
+        .where(F.length("t") > 0)
+        .distinct()
+        .withColumn("lengths", lengths)
+        .withColumn("firsts", firsts)
+        .select(*one, "t", "lengths", "firsts", F.explode(F.sequence(F.lit(1), F.length("t"))).alias("at"))
+        .where(F.expr("array_contains(firsts, substring(t, at, 1))"))
+        .select(*one, "t", "at", F.explode("lengths").alias("n"))
+        .where(F.col("at") + F.col("n") - 1 <= F.length("t"))
+    )
+    if whole_words:
+        word = r"[\p{L}\p{N}_]{2}"
+        before = F.expr("if(at = 1, '', substring(t, at - 1, 2))")
+        after = F.expr("substring(t, at + n - 1, 2)")
+        pieces = pieces.where(~before.rlike(word) & ~after.rlike(word))
+    hits = pieces.select(*one, "at", "n", F.expr("substring(t, at, n)").alias("noun")).join(nouns, "noun")
+    longest = hits.groupBy(*one, "at").agg(F.max_by(F.struct("noun", *categories), "n").alias("hit"), F.max("n").alias("n"))
+    kept = _first_come(longest, one)
+    decided = F.col("hit")[categories[0]].isNotNull()
+    per_title = kept.groupBy(*one).agg(
+        F.array_sort(F.collect_list(F.struct("at", F.col("hit.noun").alias("noun")))).alias("nouns"),
+        F.min_by("hit", F.when(decided, F.col("at"))).alias("_hit"),
+    )
+    found = named.join(per_title.withColumn("nouns", F.col("nouns.noun")), one, "left")
     return found.select(
-        *[c for c in found.columns if c != "_hit"], *[F.coalesce(F.col(f"_hit.{c}"), F.lit(OTHER)).alias(c) for c in categories]
+        *titles.columns,
+        F.coalesce("nouns", F.array().cast("array<string>")).alias("nouns"),
+        *[F.coalesce(F.col(f"_hit.{c}"), F.lit(OTHER)).alias(c) for c in categories],
     )
 
 
-def _classify_by_join(titles: DataFrame, dictionary: DataFrame, categories: list[str], key: str) -> DataFrame:
-    """The same for a dictionary of any size: substrings by place, joined on the noun.
+def _first_come(hits: DataFrame, one: list[str]) -> DataFrame:
+    """Hits that do not overlap an earlier one that was kept.
 
-    Overlapping hits are settled as the pattern would: take the first place,
-    then the longest noun there, then go on behind it.
+    A hit that starts behind the end of all before it is always kept, so only
+    runs of overlapping hits, which are short, are settled one by one.
     """
-    longest = dictionary.agg(F.max(F.length("noun"))).first()[0] or 0
-    if longest == 0:
-        empty = F.array().cast("array<string>")
-        return titles.select("*", empty.alias("nouns"), *[F.lit(OTHER).alias(c) for c in categories])
-    titles = titles.withColumn("_text", clean_title(F.col("title")))
-    one = [key, "_text"]
-    places = titles.select(*one).where(F.length("_text") > 0).distinct()
-    places = places.select(*one, F.explode(F.sequence(F.lit(1), F.length("_text"))).alias("at"))
-    lengths = F.sequence(F.lit(1), F.least(F.lit(longest), F.length("_text") - F.col("at") + 1))
-    pieces = places.select(
-        *one, "at", F.explode(F.transform(lengths, lambda n: F.substring(F.col("_text"), F.col("at"), n))).alias("noun")
-    )
-    hits = pieces.join(dictionary, "noun")
-    longest_at = hits.groupBy(*one, "at").agg(
-        F.max_by(F.struct("noun", *categories), F.length("noun")).alias("hit")
-    )
-    per_title = longest_at.groupBy(*one).agg(F.array_sort(F.collect_list(F.struct("at", "hit"))).alias("hits"))
-    start = F.struct(F.lit(1).alias("free"), F.filter("hits", lambda h: F.lit(False)).alias("kept"))
+    so_far = W.partitionBy(*one).orderBy("at").rowsBetween(W.unboundedPreceding, -1)
+    end = F.col("at") + F.col("n")
+    marked = hits.withColumn("_new", (F.col("at") >= F.coalesce(F.max(end).over(so_far), F.lit(0))).cast("int"))
+    runs = marked.withColumn("_run", F.sum("_new").over(W.partitionBy(*one).orderBy("at")))
+    grouped = runs.groupBy(*one, "_run").agg(F.array_sort(F.collect_list(F.struct("at", "n", "hit"))).alias("hits"))
+    start = F.struct(F.lit(0).alias("free"), F.filter("hits", lambda h: F.lit(False)).alias("kept"))
     taken = F.aggregate(
         "hits",
         start,
         lambda state, h: F.when(
             h["at"] >= state["free"],
-            F.struct((h["at"] + F.length(h["hit"]["noun"])).alias("free"), F.concat(state["kept"], F.array(h)).alias("kept")),
+            F.struct((h["at"] + h["n"]).alias("free"), F.concat(state["kept"], F.array(h)).alias("kept")),
         ).otherwise(state),
     )["kept"]
-    per_title = per_title.select(*one, taken.alias("kept"))
-    decides = F.get(F.filter("kept", lambda h: h["hit"][categories[0]].isNotNull()), F.lit(0))
-    per_title = per_title.select(
-        *one, F.transform("kept", lambda h: h["hit"]["noun"]).alias("nouns"), decides["hit"].alias("_hit")
-    )
-    found = titles.join(per_title, one, "left")
-    return found.select(
-        *[c for c in titles.columns if c != "_text"],
-        F.coalesce("nouns", F.array().cast("array<string>")).alias("nouns"),
-        *[F.coalesce(F.col(f"_hit.{c}"), F.lit(OTHER)).alias(c) for c in categories],
-    )
+    return grouped.select(*one, F.explode(taken).alias("k")).select(*one, "k.at", "k.hit")
 
 
 def contract_categories(titles: DataFrame, dictionary: DataFrame, key: str, whole_words: bool = False) -> DataFrame:

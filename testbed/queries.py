@@ -478,7 +478,7 @@ def first_touch(t):
 )
 def signing_order(t):
     rows = staged(t)
-    return referral.signing_order(rows, referral.slices_needed(rows)).select("documentid", "participantid", "due", "ordinal")
+    return referral.signing_order(rows).select("documentid", "participantid", "due", "ordinal")
 
 
 _BALANCE = """SELECT workspaceid, id AS invoiceid, createdat AS datevalue, finalamount,

@@ -97,12 +97,17 @@ def test_billing(t):
     assert rows(cut) == rows(daily.billing_rawdata(t, at(AS_OF)))
 
 
-def test_signing_order(t):
+def test_signing_order_of_one_large_document(t):
     staged = referral.participants_stage(t.document_service, at(BATCH))
-    assert rows(referral.signing_order(staged, slices=5)) == rows(referral.signing_order(staged))
+    one = staged.withColumn("documentid", F.lit("d"))
+    got = sorted(referral.signing_order(one).collect(), key=lambda r: (r.participantid, repr(r.due), repr(r.contact)))
+    earliest = min(r.due for r in got if r.due is not None)
+    assert [r.ordinal for r in got] == [1 if r.due == earliest else i for i, r in enumerate(got, 1)]
 
 
-def test_participants_refresh(t):
+def test_signing_order_restarts_in_each_document(t):
     staged = referral.participants_stage(t.document_service, at(BATCH))
-    cut = referral.participants_refresh(t.participant_data, staged, hot_rows=2)
-    assert rows(cut) == rows(referral.participants_refresh(t.participant_data, staged))
+    largest = {}
+    for r in referral.signing_order(staged).collect():
+        largest.setdefault(r.documentid, []).append(r.ordinal)
+    assert all(max(found) <= len(found) and min(found) == 1 for found in largest.values())

@@ -1,4 +1,6 @@
 import json
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,9 +53,26 @@ def test_contract_categories(documents, dictionary):
     assert df.columns == [*titles.DOCUMENT, "nouns", "category1", "category2"]
 
 
-def test_large_dictionary_gives_the_same(documents, dictionary, monkeypatch):
-    monkeypatch.setattr(titles, "PATTERN_NOUNS", 2)
-    assert found(titles.contract_categories(documents, dictionary, "documentid")) == expected()
+def test_repeated_nouns_are_settled(documents, dictionary):
+    twice = dictionary.unionByName(dictionary)
+    assert found(titles.contract_categories(documents, twice, "documentid")) == expected()
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_classify_against_a_pattern(spark, whole):
+    draw = random.Random(4)
+    nouns = ["ring", "spring", "ringer", "a", "ab", "aba", "bab", "in", "b"]
+    data = [(f"k{i}", "".join(draw.choice("ab ring sp,") for _ in range(draw.randrange(60)))) for i in range(300)]
+    data += [("long", "spring ring ab " * 3000), ("bring", "bring it")]
+    book = spark.createDataFrame([(n, n.upper() if len(n) > 1 else None) for n in nouns], "noun string, category1 string")
+    rows_ = titles.classify(spark.createDataFrame(data, "documentid string, title string"), book, ["category1"], "documentid", whole)
+    either = "|".join(sorted(nouns, key=lambda n: -len(n)))
+    pattern = re.compile(rf"(?<![a-z])(?:{either})(?![a-z])" if whole else either)
+    title = dict(data)
+    for r in rows_.collect():
+        want = pattern.findall(title[r.documentid].strip())
+        assert list(r.nouns) == want
+        assert r.category1 == next((n.upper() for n in want if len(n) > 1), titles.OTHER)
 
 
 def test_form_categories(documents, dictionary):
@@ -62,11 +81,9 @@ def test_form_categories(documents, dictionary):
     assert df.columns == [*titles.DOCUMENT, "nouns", "category1"]
 
 
-def test_empty_dictionary(documents, dictionary, monkeypatch):
-    nothing = dictionary.limit(0)
-    one = rows(titles.form_categories(documents, nothing, "documentid"))
-    monkeypatch.setattr(titles, "PATTERN_NOUNS", -1)
-    assert rows(titles.form_categories(documents, nothing, "documentid")) == one
+def test_empty_dictionary(documents, dictionary):
+    for r in titles.form_categories(documents, dictionary.limit(0), "documentid").collect():
+        assert (list(r.nouns), r.category1) == ([], titles.OTHER)
 
 
 def test_whole_words(spark):
