@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 from ledgerline.llm import quality, queries, toxicity
 
 DATA = "/root/testdata/sf0.01"
-NAMES = {"op6_toxicity": ("toxic", 0.7), "op7_quality": ("quality", 0.5)}
+#: Target, limit, data and the least area; some labels are wrong on purpose, and the smaller data hold few toxic rows.
+NAMES = {
+    "op6_toxicity": ("toxic", 0.7, "/root/testdata/sf0.1", 0.97),
+    "op7_quality": ("quality", 0.5, "/root/testdata/sf0.01", 0.99),
+}
 
 
 def area(scores, labels):
@@ -24,17 +28,17 @@ def area(scores, labels):
 
 @pytest.mark.parametrize("name", sorted(NAMES))
 def test_held_out_accuracy(spark, name):
-    target, limit = NAMES[name]
-    rows = queries.QUERIES[name](spark, DATA).collect()
-    assert len(rows) == spark.read.parquet(f"{DATA}/documents.parquet").count()
-    labels = {r.doc_id: r[target] for r in spark.read.parquet(f"{DATA}/labels.parquet").collect()}
+    target, limit, data, least = NAMES[name]
+    rows = queries.QUERIES[name](spark, data).collect()
+    assert len(rows) == spark.read.parquet(f"{data}/documents.parquet").count()
+    labels = {r.doc_id: r[target] for r in spark.read.parquet(f"{data}/labels.parquet").collect()}
     for r in rows:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= limit)
     unseen = [(r.score, r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
     scores, predicted, truth = zip(*unseen, strict=True)
-    assert area(scores, truth) > 0.95
-    assert np.mean(np.array(predicted) == np.array(truth)) > 0.93
+    assert area(scores, truth) > least
+    assert np.mean(np.array(predicted) == np.array(truth)) > 0.97
 
 
 def test_held_out_labels_are_not_read(spark):
