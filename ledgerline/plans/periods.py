@@ -181,8 +181,8 @@ def plan_attributes(plan: DataFrame, category: DataFrame, category_value: DataFr
 
 
 def one_status(subscription: DataFrame) -> DataFrame:
-    """One status per workspace: that of the subscription with the largest id."""
-    return subscription.groupBy("workspaceid").agg(F.max_by("status", "id").alias("status"))
+    """One status per workspace: that of the subscription with the largest id, longer ids last (s9, s10)."""
+    return subscription.groupBy("workspaceid").agg(F.max_by("status", F.struct(F.length("id"), "id")).alias("status"))
 
 
 def subscription_periods(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.intervals import interval_join
 from ledgerline.operators.ordering import cut, positions
-from ledgerline.plans import billing, events
+from ledgerline.plans import billing, events, periods
 from ledgerline.sources import tables
 
 
@@ -101,3 +101,8 @@ def test_positions_over_hot_and_null_keys(spark):
         assert r._before == total
         total += r["size"]
     assert positions(cut(rows.limit(0), order, "test-cut"), order).count() == 0
+
+
+def test_the_later_of_two_subscriptions_counts(spark):
+    df = spark.createDataFrame([("s9", "w", "OLD"), ("s10", "w", "NEW")], "id string, workspaceid string, status string")
+    assert [r.status for r in periods.one_status(df).collect()] == ["NEW"]
