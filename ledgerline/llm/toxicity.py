@@ -27,6 +27,9 @@ MOST_LEARNT = 400  # entries of the learnt lexicon
 STEMS = (4, 5, 6, 7)  # word beginnings of these lengths can be entries, too, as "stem*"
 TREES = 25
 DEPTH = 3
+PARTS = (1, 2, 3)  # of the training rows, for the lexicon and the trees; part 0 calibrates
+LEAST = 3  # documents of label 1 that an entry of the learnt lexicon must occur in
+LEAST_Z = 2.5
 NEAR = 5  # words between a lexicon word and a second-person word
 SPAN = 50  # words of the window in which lexicon words are counted at their densest
 
@@ -141,26 +144,31 @@ class Features:
         return compute(text)
 
 
-def learnt_words(rows: DataFrame) -> dict[str, float]:
-    """Words and stems that occur in far more documents of label 1 than their share, with their z-scores."""
-    sizes = {row.label: row["count"] for row in rows.groupBy("label").count().collect()}
-    ones, zeros = sizes.get(1, 0), sizes.get(0, 0)
+def _entries(rows: DataFrame) -> DataFrame:
+    """Documents with each word and stem, by part, in all and of label 1; entries in fewer than `LEAST` of these are left out."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1)))
 
     def stems(n: int) -> Column:
         longer = F.filter(words, lambda word: F.length(word) > n)
         return F.array_distinct(F.transform(longer, lambda word: F.concat(F.substring(word, 1, n), F.lit("*"))))
 
-    entries = F.explode(F.concat(words, *[stems(n) for n in STEMS]))
-    counts = (
-        rows.select("label", entries.alias("word"))
-        .groupBy("word")
-        .agg(F.sum("label").alias("with"), F.count(F.lit(1)).alias("all"))
-    )
-    low = F.col("all") - F.col("with")
-    odds = F.log((F.col("with") + 0.5) / (ones + 1.0)) - F.log((low + 0.5) / (zeros + 1.0))
-    spread = F.sqrt(1 / (F.col("with") + 0.5) + 1 / (low + 0.5))
-    strong = counts.filter(F.col("with") >= 5).withColumn("z", odds / spread).filter((F.col("z") > 3) & (odds > 1.5))
+    entries = rows.select("label", "part", F.explode(F.concat(words, *[stems(n) for n in STEMS])).alias("word"))
+    sums = [F.sum(F.when(F.col("part") == p, F.col("label"))).alias(f"with{p}") for p in PARTS]
+    sums += [F.count_if(F.col("part") == p).alias(f"all{p}") for p in PARTS]
+    return stage(entries.groupBy("word").agg(F.sum("label").alias("with"), *sums).filter(F.col("with") >= LEAST), "toxicity-words")
+
+
+def learnt_words(entries: DataFrame, sizes: dict[tuple[int, int], int], parts: Sequence[int]) -> dict[str, float]:
+    """Entries that occur in far more documents of label 1 than their share, with their z-scores, by the given parts.
+
+    `sizes` has the number of rows of each (part, label).
+    """
+    ones, zeros = (sum(sizes.get((p, label), 0) for p in parts) for label in (1, 0))
+    high = sum((F.coalesce(f"with{p}", F.lit(0)) for p in parts), F.lit(0))
+    low = sum((F.col(f"all{p}") for p in parts), F.lit(0)) - high
+    odds = F.log((high + 0.5) / (ones + 1.0)) - F.log((low + 0.5) / (zeros + 1.0))
+    z = odds / F.sqrt(1 / (high + 0.5) + 1 / (low + 0.5))
+    strong = entries.filter(high >= LEAST).withColumn("z", z).filter((F.col("z") > LEAST_Z) & (odds > 1.5))
     best = strong.orderBy(F.desc("z"), "word").limit(MOST_LEARNT)
     return {row.word: row.z for row in best.select("word", "z").collect()}
 
@@ -200,17 +208,25 @@ def _raw(trees: GBTClassificationModel, vectors: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", insults: Sequence[str] = INSULTS) -> Model:
     """A model of `target` from a bounded draw of labelled documents.
 
-    The learnt lexicon and the trees come from three quarters of them, the
-    calibration from the last quarter.
+    Three quarters of them give the learnt lexicon and the trees. The trees see
+    each of these parts through a lexicon learnt from the other two, so that
+    they do not trust it more than it holds for new documents. The last quarter
+    gives the calibration.
     """
     rows = stage(training_rows(docs, labels, target, MOST_ROWS), "toxicity-rows")
-    seen = rows.filter("part > 0")
-    features = Features(learnt_words(seen), insults)
-    made = rows.select("label", "part", features.of(F.col("text")).alias("features"))
+    sizes = {(row.part, row.label): row["count"] for row in rows.groupBy("part", "label").count().collect()}
+    entries = _entries(rows.filter("part > 0"))
+    features = Features(learnt_words(entries, sizes, PARTS), insults)
+    made = None
+    for part in (0, *PARTS):
+        others = [p for p in PARTS if p != part]
+        lens = Features(learnt_words(entries, sizes, others), insults) if part else features
+        one = rows.filter(F.col("part") == part).select("label", "part", lens.of(F.col("text")).alias("features"))
+        made = one if made is None else made.unionByName(one)
     made = stage(made, "toxicity-train").select(
         "part", F.col("label").cast("double").alias("label"), array_to_vector("features").alias("_features")
     )
-    seen, unseen = made.filter("part > 0").coalesce(4), made.filter("part = 0")
+    seen, unseen = made.filter("part > 0").coalesce(4), made.filter("part = 0").coalesce(4)
     kinds = {row.label for row in seen.select("label").distinct().collect()}
     if len(kinds) < 2:
         return Model(features, constant=float(next(iter(kinds), 0.5)))
