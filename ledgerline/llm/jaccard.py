@@ -11,8 +11,10 @@ together, and so in at most that many coordinates.
    bound, two similar classes agree on a whole block; a class is filed under so
    many of its blocks (the first in one order for all) that similar classes
    share one. Each block value is a leaf page of the index.
-3. The members of a page are first compared with one of them only, which joins
-   the bulk of any large group of near copies in linear work.
+3. The members of a page are first compared with one of them only: each class
+   with the two such centres it shares most pages with, then with the others that
+   are still apart. That joins the bulk of any large group of near copies in
+   linear work.
 4. Where a page still holds several components, its points are packed into an
    R-tree by size; node and point pairs are kept by summed minima of box tops
    and points, and only between different components.
@@ -29,26 +31,23 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import WordHashes, mix, shingle_hashes, words_of
+from ledgerline.llm.common import mix
 from ledgerline.llm.graph import components
+from ledgerline.llm.shingles import shingle_sets
 from ledgerline.sources.tables import stage
 
-LENGTH = 5
 PERCENT = 80  # the bounds below are written for this similarity
 SINGLE = 64  # classes below this size are filed by single coordinates
 FILL = 0.375  # blocks per shingle of the largest class of a size band
 LEAF = 32  # points of an R-tree leaf
+FIRST = 2  # centres that each class is compared with first
+FILTER_BITS = 24  # of the table that tells which texts may be wanted: 2 MB
 PAGE = 2_048  # points of a page that meet in one task
 
 
-def shingle_set(text: str | None, hashes: WordHashes) -> np.ndarray:
-    """The distinct shingle hashes of a whole text, sorted."""
-    return np.unique(shingle_hashes(hashes(words_of(text)), LENGTH))
-
-
 def class_of(shingles: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(shingles.tobytes()) - (1 << 63)
 
@@ -93,8 +92,8 @@ def pages(shingles: np.ndarray) -> np.ndarray:
 
 
 def group_bits(n: int) -> int:
-    """Groups of a class's point, as a power of two: about 4 to 8 shingles each, 16 at least."""
-    return max(4, n.bit_length() - 3)
+    """Groups of a class's point, as a power of two: about 2 to 4 shingles each, 256 at least."""
+    return max(8, n.bit_length() - 2)
 
 
 def point(shingles: np.ndarray) -> np.ndarray:
@@ -102,9 +101,27 @@ def point(shingles: np.ndarray) -> np.ndarray:
     return np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.int32)
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """A point in as few bytes as its counts need; the first byte tells the bits of a count."""
+    top = counts.max(initial=0)
+    if top < 16:
+        return b"\x04" + (counts[::2] | counts[1::2] << 4).astype(np.uint8).tobytes()
+    kind = np.uint8 if top < 256 else np.int32
+    return bytes([8 * np.dtype(kind).itemsize]) + counts.astype(kind).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    if data[0] == 4:
+        pairs = np.frombuffer(data, dtype=np.uint8, offset=1)
+        counts = np.empty(2 * len(pairs), dtype=np.int32)
+        counts[::2], counts[1::2] = pairs & 15, pairs >> 4
+        return counts
+    return np.frombuffer(data, dtype=np.uint8 if data[0] == 8 else np.int32, offset=1).astype(np.int32)
+
+
 def fold(counts: np.ndarray, bits: int) -> np.ndarray:
     """A point over fewer groups: neighbours added up."""
-    return counts.reshape(1 << bits, -1).sum(1)
+    return counts if len(counts) == 1 << bits else counts.reshape(1 << bits, -1).sum(1)
 
 
 def near_pairs(points: np.ndarray, sizes: np.ndarray, roots: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
@@ -139,32 +156,33 @@ def near_pairs(points: np.ndarray, sizes: np.ndarray, roots: np.ndarray, side: n
     return out
 
 
-def _sets(batches: Iterator[pa.RecordBatch], filed: bool) -> Iterator[pa.RecordBatch]:
-    hashes, seen = WordHashes(), set()
-    with np.errstate(over="ignore"):
-        for batch in batches:
-            if filed:
-                classes, keys = [], []
-                for text in batch.column("text").to_pylist():
-                    shingles = shingle_set(text, hashes)
-                    found = pages(shingles)
-                    if len(found) and (name := class_of(shingles)) not in seen:
-                        seen.add(name)
-                        classes.append(name)
-                        keys.append(found.view(np.int64))
-                sizes = np.cumsum([0] + [len(k) for k in keys])
-                values = np.concatenate(keys) if keys else np.empty(0, dtype=np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(values, pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), lists], ["cls", "pages"])
-            else:
-                sizes, classes = [], []
-                for text in batch.column("text").to_pylist():
-                    shingles = shingle_set(text, hashes)
-                    sizes.append(len(shingles))
-                    classes.append(class_of(shingles) if len(shingles) else None)
-                columns = [batch.column(name) for name in ("doc_id", "h1", "h2")]
-                columns += [pa.array(sizes, pa.int64()), pa.array(classes, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h1", "h2", "n", "cls"])
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The size of each text's shingle set, its class and its point."""
+    for batch in batches:
+        sizes, classes, points = [], [], []
+        for shingles in shingle_sets(batch.column("text")):
+            sizes.append(len(shingles))
+            classes.append(class_of(shingles) if len(shingles) else None)
+            points.append(packed(point(shingles)) if len(shingles) else None)
+        columns = [batch.column(name) for name in ("doc_id", "h1", "h2")]
+        columns += [pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(points, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h1", "h2", "n", "cls", "point"])
+
+
+def _filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pages of each class, once for each class that a task meets."""
+    seen = set()
+    for batch in batches:
+        classes, keys = [], []
+        for shingles in shingle_sets(batch.column("text")):
+            if len(shingles) >= 4 and (name := class_of(shingles)) not in seen:
+                seen.add(name)
+                classes.append(name)
+                keys.append(pages(shingles).view(np.int64))
+        sizes = np.cumsum([0] + [len(k) for k in keys])
+        values = np.concatenate(keys) if keys else np.empty(0, dtype=np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(values, pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), lists], ["cls", "pages"])
 
 
 def _hashed(docs: DataFrame) -> DataFrame:
@@ -176,26 +194,68 @@ def _hashed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (`a`, `b`) of classes whose shingle sets are similar."""
+def _maybe(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`rows` with `maybe`, false where (`h1`, `h2`) is surely not in `wanted`.
+
+    A table of 2 ** `FILTER_BITS` bits, broadcast in pieces of 4 KB, tells. It
+    only saves moving texts; a join decides about the others.
+    """
+    slot = F.pmod("h1", F.lit(1 << FILTER_BITS))
+    bits = wanted.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("piece"))
+    bits = F.broadcast(bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")))
+    byte = "conv(hex(substring(bits, cast(place div 8 as int) + 1, 1)), 16, 10)"
+    bit = F.expr(f"shiftright(cast({byte} as int), cast(place % 8 as int)) % 2 = 1")
+    return (
+        rows.withColumn("piece", F.bitmap_bucket_number(slot))
+        .withColumn("place", F.bitmap_bit_position(slot))
+        .join(bits, "piece", "left")
+        .withColumn("maybe", F.coalesce(bit, F.lit(False)))
+        .drop("piece", "place", "bits")
+    )
+
 
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, last, kept = WordHashes(), None, None
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                good = []
-                for one, b, other in zip(batch["text_a"], batch["b"], batch["text_b"], strict=True):
-                    if b != last:
-                        last, kept = b, shingle_set(other, hashes)
-                    first = shingle_set(one, hashes)
-                    bits = min(group_bits(len(first)), group_bits(len(kept)))
-                    bound = np.minimum(fold(point(first), bits), fold(point(kept), bits)).sum()
-                    good.append(9 * bound >= 4 * (len(first) + len(kept)) and similar(first, kept))
-                yield batch.loc[good, ["a", "b"]]
+def _some(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of `texts` whose (`h1`, `h2`) is in `wanted`, one for each."""
+    near = _maybe(texts, wanted).filter("maybe").drop("maybe")
+    return near.join(wanted, ["h1", "h2"]).dropDuplicates(["h1", "h2"])
+
+
+def _bound(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """Pairs (`a`, `b`) whose summed coordinate minima leave the similarity possible."""
+
+    def left(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            good = []
+            for one, other, m, n in zip(batch["pa"], batch["pb"], batch["na"], batch["nb"], strict=True):
+                one, other = unpacked(one), unpacked(other)
+                bits = min(len(one), len(other)).bit_length() - 1
+                good.append(9 * int(np.minimum(fold(one, bits), fold(other, bits)).sum()) >= 4 * (m + n))
+            yield batch.loc[good, ["a", "b"]]
+
+    one = points.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
+    other = points.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"))
+    near = (100 * F.least("na", "nb")) >= PERCENT * F.greatest("na", "nb")
+    return pairs.select("a", "b").join(one, "a").join(other, "b").filter(near).mapInPandas(left, "a long, b long")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (`a`, `b`; a staged frame) of classes whose shingle sets are similar.
+
+    Only the texts of classes in the pairs are moved.
+    """
+    named = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+    wanted = stage(named.join(classes, "cls").select("cls", "h.h1", "h.h2"), "jaccard-wanted")
+    texts = stage(_some(_hashed(docs).drop("doc_id"), wanted).select("cls", "text"), "jaccard-texts")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = zip(shingle_sets(batch.column("text_a")), shingle_sets(batch.column("text_b")), strict=True)
+            good = pa.array([similar(one, other) for one, other in sets], pa.bool_())
+            yield batch.select(["a", "b"]).filter(good)
 
     one = texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a"))
     other = texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(one, "a").join(other, "b").mapInPandas(verify, "a long, b long")
+    return pairs.select("a", "b").join(one, "a").join(other, "b").mapInArrow(verify, "a long, b long")
 
 
 def _page_pairs(rest: DataFrame) -> DataFrame:
@@ -211,19 +271,58 @@ def _page_pairs(rest: DataFrame) -> DataFrame:
     )
     dealt = dealt.withColumn("one", F.least("slice", "other")).withColumn("two", F.greatest("slice", "other"))
 
-    def kept(rows: pd.DataFrame) -> pd.DataFrame:
-        counts = [np.frombuffer(data, dtype=np.int32) for data in rows["point"]]
-        bits = min(len(c).bit_length() - 1 for c in counts)
-        points = np.stack([fold(c, bits) for c in counts])
-        pairs = near_pairs(
-            points, rows["n"].to_numpy(), rows["root"].to_numpy(), rows["slice"].to_numpy()
-        )
-        cls = rows["cls"].to_numpy()
-        found = np.array([(max(cls[i], cls[j]), min(cls[i], cls[j])) for i, j in pairs], dtype=np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
-
     columns = ["page", "one", "two", "slice", "cls", "n", "root", "point"]
-    return dealt.select(*columns).groupBy("page", "one", "two").applyInPandas(kept, "a long, b long").distinct()
+    group = ["page", "one", "two"]
+    parts = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    together = dealt.select(*columns).repartition(parts, *group).sortWithinPartitions(*group)
+    return together.mapInArrow(_kept_pairs, "a long, b long").distinct()
+
+
+def _kept_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs that the bound leaves in each run of rows of one group; rows come sorted by group."""
+    held = None
+    for batch in batches:
+        rows = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in batch.schema.names}
+        if held is not None:
+            rows = {name: np.concatenate([held[name], values]) for name, values in rows.items()}
+        if not len(rows["page"]):
+            continue
+        new = np.zeros(len(rows["page"]), dtype=bool)
+        for name in ("page", "one", "two"):
+            new[1:] |= rows[name][1:] != rows[name][:-1]
+        borders = np.concatenate([[0], np.flatnonzero(new)])
+        yield _pairs_of(rows, borders)
+        held = {name: values[borders[-1] :] for name, values in rows.items()}  # its group may go on
+    if held is not None:
+        yield _pairs_of(held, np.array([0, len(held["page"])]))
+
+
+def _pairs_of(rows: dict[str, np.ndarray], borders: np.ndarray) -> pa.RecordBatch:
+    found: list[tuple[int, int]] = []
+    for start, end in zip(borders[:-1], borders[1:], strict=True):
+        root = rows["root"][start:end]
+        if (root == root[0]).all():
+            continue
+        n, cls, side = rows["n"][start:end], rows["cls"][start:end], rows["slice"][start:end]
+        if end - start == 2:
+            if 100 * n.min() >= PERCENT * n.max():
+                one, other = unpacked(rows["point"][start]), unpacked(rows["point"][start + 1])
+                bits = min(len(one), len(other)).bit_length() - 1
+                if 9 * np.minimum(fold(one, bits), fold(other, bits)).sum() >= 4 * n.sum():
+                    found.append((cls[0], cls[1]))
+            continue
+        counts = [unpacked(data) for data in rows["point"][start:end]]
+        bits = min(len(c) for c in counts).bit_length() - 1
+        pairs = near_pairs(np.stack([fold(c, bits) for c in counts]), n, root, side)
+        found += [(cls[i], cls[j]) for i, j in pairs]
+    pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
+    high, low = pa.array(pairs.max(1), pa.int64()), pa.array(pairs.min(1), pa.int64())
+    return pa.RecordBatch.from_arrays([high, low], ["a", "b"])
+
+
+def _as_links(groups: DataFrame) -> DataFrame:
+    """Components found so far as links to their roots."""
+    return groups.select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
 def linked(docs: DataFrame) -> DataFrame:
@@ -237,13 +336,9 @@ def linked(docs: DataFrame) -> DataFrame:
     it has one (then it is null). Repeated rows are one class. An empty table
     gives an empty result.
     """
-    slim = stage(
-        _hashed(docs).mapInArrow(
-            lambda batches: _sets(batches, False), "doc_id long, h1 long, h2 long, n long, cls long"
-        ),
-        "jaccard-slim",
-    )
-    filed = docs.select("text").mapInArrow(lambda batches: _sets(batches, True), "cls long, pages array<long>")
+    slim = _hashed(docs).mapInArrow(_sets, "doc_id long, h1 long, h2 long, n long, cls long, point binary")
+    slim = stage(slim, "jaccard-slim")
+    filed = docs.select("text").mapInArrow(_filed, "cls long, pages array<long>")
     page = Window.partitionBy("page")
     shared = (
         filed.select("cls", F.explode("pages").alias("page"))
@@ -254,47 +349,45 @@ def linked(docs: DataFrame) -> DataFrame:
         .distinct()
     )
     shared = stage(shared, "jaccard-pages")
-
-    stars = shared.filter("cls != low").select(F.col("cls").alias("a"), F.col("low").alias("b")).distinct()
-    stars = stage(stars, "jaccard-stars")
     classes = stage(
         slim.filter("cls is not null")
         .groupBy("cls")
-        .agg(F.min("doc_id").alias("least"), F.min(F.struct("h1", "h2")).alias("h"), F.max("n").alias("n")),
+        .agg(F.min("doc_id").alias("least"), F.min(F.struct("h1", "h2", "point")).alias("h"), F.max("n").alias("n"))
+        .withColumn("point", F.col("h.point")),
         "jaccard-classes",
     )
-    involved = shared.select("cls").distinct().join(classes, "cls").select("cls", "n", "h.h1", "h.h2")
-    texts = stage(
-        _hashed(docs).drop("doc_id").join(involved, ["h1", "h2"]).dropDuplicates(["h1", "h2"]).select("cls", "n", "text"),
-        "jaccard-texts",
+    points = classes.select("cls", "n", "point")
+
+    best = Window.partitionBy("a").orderBy(F.desc("shared"), "b")
+    stars = shared.filter("cls != low").groupBy(F.col("cls").alias("a"), F.col("low").alias("b"))
+    stars = stage(
+        stars.agg(F.count(F.lit(1)).alias("shared")).withColumn("rank", F.row_number().over(best)), "jaccard-stars"
     )
-    links = stage(_verified(stars, texts), "jaccard-links")
+    near = stage(_bound(stars.filter(F.col("rank") <= FIRST), points), "jaccard-near")
+    groups = stage(components(_verified(near, classes, docs)), "jaccard-groups")
+
+    def apart(pairs: DataFrame) -> DataFrame:
+        one = groups.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+        other = groups.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+        rooted = pairs.join(one, "a", "left").join(other, "b", "left")
+        return rooted.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b"))
+
+    rest = stage(_bound(apart(stars.filter(F.col("rank") > FIRST)), points), "jaccard-rest")
+    links = _verified(rest, classes, docs).unionByName(_as_links(groups))
     groups = stage(components(links), "jaccard-groups")
 
-    rooted = shared.select("page", "cls").join(
-        groups.select(F.col("node").alias("cls"), "root"), "cls", "left"
-    )
-    rooted = rooted.withColumn("root", F.coalesce("root", "cls"))
+    rooted = shared.select("page", "cls").join(groups.select(F.col("node").alias("cls"), "root"), "cls", "left")
     open_pages = (
-        rooted.withColumn("low", F.min("root").over(page))
+        rooted.withColumn("root", F.coalesce("root", "cls"))
+        .withColumn("low", F.min("root").over(page))
         .withColumn("high", F.max("root").over(page))
         .filter("low != high")
         .select("page", "cls", "root")
     )
-
-    def points(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                made = [point(shingle_set(text, hashes)).tobytes() for text in batch["text"]]
-                yield batch[["cls", "n"]].assign(point=made)
-
-    made = texts.mapInPandas(points, "cls long, n long, point binary")
-    more = _page_pairs(stage(open_pages.join(made, "cls"), "jaccard-open"))
+    more = _page_pairs(stage(open_pages.join(points, "cls"), "jaccard-open"))
     more = stage(more.join(stars, ["a", "b"], "left_anti"), "jaccard-more")
-    if not more.isEmpty():
-        links = links.unionByName(stage(_verified(more, texts), "jaccard-more-links"))
-        groups = stage(components(links), "jaccard-groups")
+    links = _verified(more, classes, docs).unionByName(_as_links(groups))
+    groups = stage(components(links), "jaccard-groups")
 
     named = classes.select("cls", "least").join(groups.select(F.col("node").alias("cls"), "root"), "cls", "left")
     named = named.withColumn("root", F.coalesce("root", "cls"))
@@ -317,12 +410,23 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Rows without words stay as they are. All columns are kept.
     """
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")
-    first = linked(docs).filter("n > 0").groupBy("root").agg(F.min(order).alias("first"))
-    first = stage(first.select(F.col("first.doc_id").alias("least"), "first.h1", "first.h2"), "jaccard-first")
+    found = stage(linked(docs).filter("n > 0").select("doc_id", "h1", "h2", "root"), "jaccard-found")
+    crowds = found.groupBy("root").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    chosen = (F.col("h1") == F.col("first.h1")) & (F.col("h2") == F.col("first.h2"))
+    crowd = found.join(crowds, "root").select("h1", "h2", chosen.alias("chosen"), _who(F.col("first.doc_id")).alias("who"))
+    crowd = stage(crowd.distinct(), "jaccard-crowd")
+
     text = F.col("_row.text")
     rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row"))
-    marked = rows.withColumns({"h1": F.xxhash64(text), "h2": F.xxhash64(F.lit(1), text)})
-    same = F.col("_row.doc_id").cast("long").eqNullSafe(F.col("least"))
-    kept = marked.join(first, ["h1", "h2"]).filter(same).dropDuplicates(["h1", "h2"])
-    bare = rows.filter(~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
-    return kept.select("_row.*").unionByName(bare.select("_row.*"))
+    rows = rows.withColumns({"h1": F.xxhash64(text), "h2": F.xxhash64(F.lit(1), text)})
+    marked = _maybe(rows.withColumn("who", _who(F.col("_row.doc_id"))), crowd)
+    near = marked.filter("maybe")
+    first = near.join(crowd.filter("chosen"), ["h1", "h2", "who"]).dropDuplicates(["h1", "h2", "who"])
+    alone = marked.filter("not maybe").select("_row").unionByName(
+        near.join(crowd.select("h1", "h2"), ["h1", "h2"], "left_anti").select("_row")
+    )
+    return alone.unionByName(first.select("_row")).select("_row.*")
+
+
+def _who(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.cast("long").cast("string"), F.lit("none"))

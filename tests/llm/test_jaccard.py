@@ -159,3 +159,10 @@ def test_shingles_follow_the_contract(monkeypatch):
             for j, b in enumerate(sets):
                 both = shingles(texts[i]) & shingles(texts[j])
                 assert len(np.intersect1d(a, b)) == len(both)
+
+
+def test_points_are_packed_without_loss():
+    for top in (0, 1, 15, 16, 255, 256, 100_000):
+        counts = np.zeros(256, dtype=np.int32)
+        counts[3], counts[4], counts[255] = top, top // 2, 1
+        assert (jaccard.unpacked(jaccard.packed(counts)) == counts).all()
