@@ -12,9 +12,9 @@ together, and so in at most that many coordinates.
    many of its blocks (the first in one order for all) that similar classes
    share one. Each block value is a leaf page of the index.
 3. The members of a page are first compared with one of them only: each class
-   with the two such centres it shares most pages with, then with the others that
-   are still apart. That joins the bulk of any large group of near copies in
-   linear work.
+   with the two such centres it shares most pages with, then with two more that
+   it is still apart from. That joins the bulk of any large group of near copies
+   in linear work.
 4. Where a page still holds several components, its points are packed into an
    R-tree by size; node and point pairs are kept by summed minima of box tops
    and points, and only between different components.
@@ -372,7 +372,9 @@ def linked(docs: DataFrame) -> DataFrame:
         rooted = pairs.join(one, "a", "left").join(other, "b", "left")
         return rooted.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b"))
 
-    rest = stage(_bound(apart(stars.filter(F.col("rank") > FIRST)), points), "jaccard-rest")
+    others = apart(stars.filter(F.col("rank") > FIRST)).withColumn("rank", F.row_number().over(best))
+    others = stage(others.filter(F.col("rank") <= FIRST).select("a", "b"), "jaccard-others")
+    rest = stage(_bound(others, points), "jaccard-rest")
     links = _verified(rest, classes, docs).unionByName(_as_links(groups))
     groups = stage(components(links), "jaccard-groups")
 
@@ -385,7 +387,8 @@ def linked(docs: DataFrame) -> DataFrame:
         .select("page", "cls", "root")
     )
     more = _page_pairs(stage(open_pages.join(points, "cls"), "jaccard-open"))
-    more = stage(more.join(stars, ["a", "b"], "left_anti"), "jaccard-more")
+    tested = stars.filter(F.col("rank") <= FIRST).select("a", "b").unionByName(others)
+    more = stage(more.join(tested, ["a", "b"], "left_anti"), "jaccard-more")
     links = _verified(more, classes, docs).unionByName(_as_links(groups))
     groups = stage(components(links), "jaccard-groups")
 
