@@ -31,7 +31,8 @@ LEAST_PAGES = 4  # training pages a feature must occur on
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|iframe|svg|textarea|select|object|math|head)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|iframe)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
+    r"|<title(?=[\s/>])[^>]*>(?:(?:(?!</title|</head|<body).)*+(?:</title\s*>|(?=</head|<body))|[^<]*)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
     r"|<[!?/][^>]*>"
@@ -42,8 +43,8 @@ _NAMES = re.compile(r"\b(class|id|role|hidden|aria-hidden|data-label)\s*(?:=\s*(
 _PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark math object param q rp rt "
+    "ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: What a start tag ends, if that is still open.
@@ -53,6 +54,15 @@ ENDS = {
 }
 #: Elements whose start does not end an open paragraph's ancestors beyond them.
 SCOPES = frozenset("table ul ol dl td th body html article section main div form blockquote aside nav".split())
+#: Elements whose content a browser does not show, or shows as a picture or a field.
+UNSEEN = frozenset("svg noscript template select annotation annotation-xml".split())
+#: Start tags that end an svg or math element still open, as no such element has these names.
+MARKUP = SCOPES | frozenset(
+    "b big br center code dd dt em embed h1 h2 h3 h4 h5 h6 head header footer figure hr i img li main menu meta nobr ol "
+    "p pre ruby s small span strike strong sub sup tr tt u var".split()
+)
+#: Elements of an svg that may hold markup.
+GUESTS = frozenset("foreignobject desc title".split())
 SECTIONS = frozenset("article main nav header footer aside form section figure table blockquote ul ol pre".split())
 
 
@@ -65,12 +75,44 @@ class Block:
 
 
 def blocks(page: str) -> list[Block]:
-    """The leaf blocks of a page in order, with white space turned into single spaces."""
+    """The leaf blocks of a page in order, with white space turned into single spaces.
+
+    All that may stand in a head holds no text, so the head needs no end. An
+    unseen element that is not closed ends with the element around it; one whose
+    end tag is nowhere behind it hides nothing.
+    """
     stack: list[tuple[str, tuple[str, ...], str | None]] = []
     out: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
-    inside_link = False
+    inside_link = inside_math = False
+    unseen: list[str] = []  # an unseen element and those open in it
+    last: dict[str, int] = {}
+
+    def closed(tag: str, at: int) -> bool:
+        if tag not in last:
+            ends = re.finditer(rf"</{tag}(?=[\s/>])", page, re.I)
+            last[tag] = max((end.start() for end in ends), default=-1)
+        return last[tag] >= at
+
+    def still_unseen(slash: str, tag: str, attributes: str) -> bool:
+        """Take a tag met in an unseen element; false if that element had ended before it."""
+        if tag in ("head", "body", "html"):
+            unseen.clear()
+        elif slash:
+            if tag in unseen:
+                while unseen.pop() != tag:
+                    pass
+                return True
+            if any(tag == name for name, _, _ in stack):
+                unseen.clear()
+        elif unseen[0] == "svg" and tag in MARKUP and not GUESTS.intersection(unseen):
+            unseen.clear()
+        elif unseen[0] == tag and tag in ("select", "noscript"):
+            unseen.clear()
+        elif tag not in VOID and not (unseen[0] == "svg" and attributes.endswith("/")):
+            unseen.append(tag)
+        return bool(unseen)
 
     def finish() -> None:
         nonlocal inside_link
@@ -98,15 +140,27 @@ def blocks(page: str) -> list[Block]:
         if tag is None:
             text = token[0]
             if raw is not None:
-                if raw.lower() not in ("head", "script", "style"):
+                if raw.lower() not in ("script", "style") and not unseen:
                     finish()
-            elif text[0] != "<" or text == "<":
+            elif (text[0] != "<" or text == "<") and not unseen:
                 parts.append(text)
                 if inside_link:
                     linked.append(text)
             continue
         tag = tag.lower()
-        if tag in INLINE:
+        if unseen and still_unseen(slash, tag, attributes) or tag == "head":
+            continue
+        if tag in UNSEEN:
+            if not slash and not attributes.endswith("/") and closed(tag, token.end()):
+                unseen.append(tag)
+            if tag == "select":
+                finish()
+            continue
+        if inside_math and (tag in MARKUP or slash and any(tag == name for name, _, _ in stack)):
+            inside_math = False
+        if tag == "math":
+            inside_math = not slash and not attributes.endswith("/")
+        if tag in INLINE or inside_math:
             if tag == "a":
                 inside_link = not slash
             elif tag == "br":
@@ -316,7 +370,8 @@ def trained(pages: Sequence[str] | None = None) -> Field:
 def main_text(html: Column, field: Field) -> Column:
     """The main text of a column of whole pages.
 
-    Scripts, styles, comments in the markup and the head hold no blocks. A page
+    Scripts, styles, comments in the markup, titles, pictures drawn in the page
+    (svg), unshown elements and form fields hold no blocks. A page
     whose markup is broken is read as far as tags can be told; unclosed elements
     end where an outer one does. Repeated pages are treated alike.
     """

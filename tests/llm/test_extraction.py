@@ -82,6 +82,38 @@ def test_broken_markup_and_edges(spark, field):
     assert out[11] == out[12] == TEXT
 
 
+def read(page):
+    return [block.text for block in extraction.blocks(page)]
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<html><head><title>t</title><body><article><p>Main text</p></article></body></html>", ["Main text"]),
+        ("<head><meta charset=u><title>t<body><p>Main text</p>", ["Main text"]),
+        ("<head><title>t</title><link href=x><p>One</p><p>Two</p>", ["One", "Two"]),
+        ("<head><noscript><style>p{}</style></head><body><p>One</p><noscript>no</noscript>", ["One"]),
+        ('<p>Before <svg class="icon"/> after.</p><p>Next</p>', ["Before after.", "Next"]),
+        ("<p>Before <svg><title>t</title><path/><text>no</text></svg> after.</p>", ["Before after."]),
+        ("<p>Before <svg><svg/><svg><g></g></svg>no</svg> after.</p>", ["Before after."]),
+        ("<svg><foreignObject><div>no</div></foreignObject>no</svg><p>One</p>", ["One"]),
+        ("<p><svg><path></p><p>One</p><svg></svg>", ["One"]),
+        ("<article><div><svg><g></div><p>One</p></article><svg></svg>", ["One"]),
+        ("<svg-icon name=x></svg-icon><head-line>One</head-line>", ["One"]),
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be.</p><p>Two</p>", ["Let x=2 be.", "Two"]),
+        ("<p>Empty <math/> one.</p><p>Two</p>", ["Empty one.", "Two"]),
+        ("<p>Open <math><mi>x<p>Two</p><div>Three</div>", ["Open x", "Two", "Three"]),
+        ("<p>A <object data=x><param name=a>fallback</object> text.", ["A fallback text."]),
+        ("<p>A <object data=x>fallback</object> text.", ["A fallback text."]),
+        ("<article><select><option>no</select><p>One</p><select><option>no<p>Two</p></article><p>Three", ["One", "no", "Two", "Three"]),
+        ("<template><template>no</template>no</template><p>One", ["One"]),
+        ("<p>One <template>two", ["One two"]),
+    ],
+)
+def test_unclosed_and_unseen_elements_hide_nothing_else(page, want):
+    assert read(page) == want
+
+
 def test_query(spark):
     out = queries.QUERIES["op10_main_text"](spark, DATA)
     assert out.columns == ["page_id", "url", "text", "n_chars"]
