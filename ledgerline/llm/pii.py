@@ -204,15 +204,59 @@ KINDS = {
         phone,
     ),
 }
+#: Kinds whose pattern may take in a word or number behind the value.
+OPEN_ENDED = {"account", "card", "phone"}
+#: Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    country: int(length)
+    for length, countries in (
+        line.split(":")
+        for line in (
+            "15:NO|16:BE|18:DK FI FK FO GL NL SD|19:MK SI|20:AT BA EE KZ LT LU MN XK|21:CH HR LI LV|"
+            "22:BG BH CR DE GB GE IE ME RS VA|23:AE GI IL IQ OM SO TL|24:AD CZ ES MD PK RO SA SE SK TN VG|"
+            "25:LY PT ST|26:IS TR|27:BI DJ FR GR IT MC MR SM|28:AL AZ BY CY DO GT HU LB NI PL SV YE|"
+            "29:BR EG PS QA UA|30:JO KW MU|31:MT SC|32:LC|33:RU"
+        ).split("|")
+    )
+    for country in countries.split()
+}
+#: Digits of the groups that cards are mostly written in.
+_CARD_GROUPS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), *((n,) for n in range(13, 20))}
+_ENDS = re.compile(r"(?<=[0-9A-Z)])(?=[ .\-])")
 _PATTERNS = {kind: (re.compile(pattern, re.ASCII), replace) for kind, (pattern, replace) in KINDS.items()}
 _DIGIT = re.compile(r"[0-9]")
 
 
+def _shorter(kind: str, shown: str) -> Iterator[int]:
+    """Lengths at which the value at the start of a hit of a kind may end, in the order to try them.
+
+    An IBAN ends first at the length of its country and a card at groups in
+    which cards are written. Neither changes with the value, so that a pseudonym
+    is read as its value was. Then come the whole hit and its parts that end
+    before a separator, the longest first.
+    """
+    if kind not in OPEN_ENDED:
+        yield len(shown)
+        return
+    ends = [*(end.start() for end in _ENDS.finditer(shown)), len(shown)]
+    if kind == "account":
+        length = IBAN_LENGTHS.get(shown[:2])
+        first = [end for end in ends if end - shown.count(" ", 0, end) == length]
+    elif kind == "card":
+        first = [end for end in ends if tuple(map(len, re.split(r"[ \-]", shown[:end]))) in _CARD_GROUPS]
+    else:
+        first = []
+    yield from first
+    yield from (end for end in reversed(ends) if end not in first)
+
+
 def pseudonymised(text: str | None, key: bytes, back: bool = False) -> tuple[str | None, list[tuple[str, int, int]]]:
     """The text with all found values replaced, and (kind, start, end) of each in the original.
 
     With `back` the replacement is undone. Spans of different kinds do not
-    overlap; the kind that comes first in `KINDS` wins.
+    overlap; the kind that comes first in `KINDS` wins. Where a hit is not valid
+    as a whole, its shorter parts are tried, then the search goes on one
+    character behind its start.
     """
     if not text or not ("@" in text or _DIGIT.search(text)):
         return text, []
@@ -221,14 +265,20 @@ def pseudonymised(text: str | None, key: bytes, back: bool = False) -> tuple[str
     for kind, (pattern, replace) in _PATTERNS.items():
         if kind == "mail" and "@" not in text:
             continue
-        for hit in pattern.finditer(text):
-            start, end = hit.span()
-            if any(taken[start:end]):
-                continue
-            new = replace(hit[0], key, back)
-            if new is not None:
-                taken[start:end] = b"\x01" * (end - start)
-                found.append((start, end, kind, new))
+        at = 0
+        while hit := pattern.search(text, at):
+            start = hit.start()
+            at = start + 1
+            for length in _shorter(kind, hit[0]):
+                end = start + length
+                if any(taken[start:end]):
+                    continue
+                new = replace(text[start:end], key, back)
+                if new is not None:
+                    taken[start:end] = b"\x01" * length
+                    found.append((start, end, kind, new))
+                    at = end
+                    break
     found.sort()
     parts, at = [], 0
     for start, end, _, new in found:

@@ -52,6 +52,43 @@ def test_formats_are_kept_and_undone(kind):
         assert pii.pseudonymised(text, b"other")[0] != new
 
 
+@pytest.mark.parametrize(
+    ("kind", "value", "behind"),
+    [
+        ("card", "4111 1111 1111 1111", " 12/25"),
+        ("card", "4111 1111 1111 1111", " 123"),
+        ("card", "4111111111111111", " 123"),
+        ("card", "4111-1111-1111-1111", " 12-25"),
+        ("card", "3782 822463 10005", " 1234"),
+        ("card", "41111111 11111111", " 12/25"),
+        ("account", "BE68 5390 0754 7034", " AND"),
+        ("account", "BE68 5390 0754 7034", " 2024"),
+        ("account", "BE68539007547034", " BIC"),
+        ("account", "BE68539007547034", " KREDBEBB"),
+        ("account", "DE89 3704 0044 0532 0130 00", " COBADEFFXXX"),
+        ("account", "NO93 8601 1117 947", " AND"),
+        ("phone", "+1 743 555 3824", " 2026 77"),
+    ],
+)
+def test_a_value_is_found_before_words_and_numbers(kind, value, behind):
+    text = f"x {value}{behind} y"
+    new, found = pii.pseudonymised(text, KEY)
+    assert found[0][0] == kind and text[found[0][1] :].startswith(value[:4]) and value not in new
+    if kind != "phone":
+        assert [(k, text[s:e]) for k, s, e in found] == [(kind, value)]
+        assert new == pii.pseudonymised(f"x {value}", KEY)[0] + behind + " y"
+        assert pii.pseudonymised(new, KEY, True)[0] == text
+
+
+def test_a_value_is_found_behind_a_number_and_behind_another():
+    accounts = "BE68 5390 0754 7034", "BE71 0961 2345 6769"
+    new, found = pii.pseudonymised(" ".join(accounts), KEY)
+    assert len(found) == 2 and new == " ".join(pii.pseudonymised(a, KEY)[0] for a in accounts)
+    text = "order 17 4111 1111 1111 1111"
+    new, found = pii.pseudonymised(text, KEY)
+    assert [text[s:e] for _, s, e in found] == ["4111 1111 1111 1111"]
+
+
 def test_equal_values_stay_linked():
     one, two, three = (
         pii.pseudonymised(t, KEY)[0] for t in ("pay 4111111111111111", "4111 1111 1111 1111 again", "a 4012888888881881")
