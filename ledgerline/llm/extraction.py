@@ -184,8 +184,8 @@ def blocks(page: str) -> list[Block]:
                     elif name.lower() in ("hidden", "aria-hidden"):
                         found += [] if value.lower() == "false" else ["hidden"]
                     else:
-                        found += [part.lower() for part in _PARTS.findall(value)[:12]]
-                names = tuple(found)
+                        found += [part.lower() for part in _PARTS.findall(value)]
+                names = tuple(dict.fromkeys(found))
             stack.append((tag, names, label))
     finish()
     return out

@@ -114,6 +114,18 @@ def test_unclosed_and_unseen_elements_hide_nothing_else(page, want):
     assert read(page) == want
 
 
+@pytest.mark.parametrize("name", ["sidebar", "comments", "cookie-notice"])
+def test_a_telling_name_behind_many_others(field, name):
+    many = "w-full max-w-screen-lg mx-auto flex flex-col items-center justify-between"
+    prose = "<p>A paragraph of the article, which is long enough to be read as such by any reader of it.</p>" * 3
+    page = f'<article><h1>A title of it</h1>{prose}<div class="{many} {name}"><p>A sentence that is no part of it, as its name tells.</p></div>{prose}</article>'
+    names = extraction.blocks(page)[4].path[1][1]
+    assert set(name.split("-")) <= set(names) and len(names) == len(set(names))
+    assert field.text(page) == field.text(page.replace(many, ""))
+    if name == "cookie-notice":
+        assert "no part" not in field.text(page) and field.text(page).count("\n") == 6
+
+
 def test_query(spark):
     out = queries.QUERIES["op10_main_text"](spark, DATA)
     assert out.columns == ["page_id", "url", "text", "n_chars"]
