@@ -110,16 +110,25 @@ def social(shown: str, key: bytes, back: bool = False) -> str | None:
     return _refill(shown, f"{area:03d}{group + 1:02d}{serial + 1:04d}")
 
 
+#: Country codes of the numbering plan: one, two or three digits, none the start of another.
+_COUNTRY = re.compile(
+    "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+    "|2[1-689][0-9]|3[578][0-9]|42[0-9]|5[09][0-9]|6[7-9][0-9]|8[0578][0-9]|9[679][0-9]"
+)
+
+
 def phone(shown: str, key: bytes, back: bool = False) -> str | None:
-    """7 to 15 digits; a country code after a plus sign stays."""
+    """7 to 15 digits; a country code after a plus sign stays.
+
+    The code is told by the digits alone, and only where no country has it by
+    the separator behind it.
+    """
     digits = _digits(shown)
     if not 7 <= len(digits) <= 15:
         return None
-    code = re.match(r"\+(\d{1,3})(?=\D)", shown)
-    kept = len(code[1]) if code else 0
+    code = (_COUNTRY.match(digits) or re.match(r"\+(\d{1,3})(?=\D)", shown)) if shown[0] == "+" else None
+    kept = len(code[code.lastindex or 0]) if code else 0
     n = len(digits) - kept
-    if n < 6:
-        return None
     moved = permute(int(digits[kept:]), 10**n, key, f"phone{digits[:kept]}:{n}", back)
     return _refill(shown, digits[:kept] + f"{moved:0{n}d}")
 
@@ -159,7 +168,10 @@ def date(shown: str, key: bytes, back: bool = False) -> str | None:
 
 
 def mail(shown: str, key: bytes, back: bool = False) -> str | None:
-    """An e-mail address: letters and digits of the local part move within their kinds, the domain stays."""
+    """An e-mail address: letters and digits of the local part move within their kinds, the domain stays.
+
+    Upper and lower case stay at their places and make no difference otherwise.
+    """
     local, _, domain = shown.partition("@")
     return _by_kind(local, key, "mail", back) + "@" + domain
 
@@ -174,12 +186,12 @@ def secret(shown: str, key: bytes, back: bool = False) -> str | None:
 
 
 def _by_kind(text: str, key: bytes, kind: str, back: bool) -> str:
-    """Letters a-z, A-Z and digits replaced as one number in mixed bases, everything else kept."""
+    """Letters, read in lower case, and digits replaced as one number in mixed bases, everything else kept."""
     bases = [26 if "a" <= c <= "z" or "A" <= c <= "Z" else 10 if "0" <= c <= "9" else 1 for c in text]
     value = 0
     for c, base in zip(text, bases, strict=True):
         value = value * base + (0 if base == 1 else int(c) if base == 10 else ord(c.lower()) - 97)
-    shape = "".join("-" if b == 1 else "9" if b == 10 else "A" if c.isupper() else "a" for c, b in zip(text, bases))
+    shape = "".join("-" if b == 1 else "9" if b == 10 else "a" for c, b in zip(text, bases, strict=True))
     value = permute(value, math.prod(bases), key, f"{kind}{shape}", back)
     out = []
     for c, base in zip(reversed(text), reversed(bases), strict=True):

@@ -97,6 +97,24 @@ def test_equal_values_stay_linked():
     assert digits[0] == digits[1] != digits[2]
 
 
+@pytest.mark.parametrize(
+    "values",
+    [
+        ["+17435553824", "+1 743 555 3824", "+1 (743) 555-3824", "+1743 555 3824"],
+        ["+4930123456", "+49 30 123456", "+49 (30) 12 34 56"],
+        ["+35312345678", "+353 12 345 678"],
+        ["+3531234", "+353 12 34"],
+        ["john.smith7@x.com", "John.Smith7@x.com", "JOHN.SMITH7@x.com"],
+    ],
+)
+def test_equal_values_in_other_styles_stay_linked(values):
+    new = [pii.pseudonymised(f"by {v}", KEY)[0].removeprefix("by ") for v in values]
+    assert len({re.sub(r"[ ()\-]", "", v).lower() for v in new}) == 1
+    for value, shown in zip(values, new, strict=True):
+        assert shown[:2] == value[:2] if value[0] == "+" else [c.isupper() for c in shown] == [c.isupper() for c in value]
+        assert shown != value and pii.pseudonymised(f"by {shown}", KEY, True)[0] == f"by {value}"
+
+
 def test_what_is_not_valid_stays():
     text = "4111111111111112 and 999.1.1.1 and 2023-02-30 and 000-12-3456 and version 2.0 and 12345 and DE00370400440532013000"
     assert pii.pseudonymised(text, KEY) == (text, [])
