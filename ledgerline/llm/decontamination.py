@@ -69,17 +69,20 @@ def _slot(shingles: np.ndarray, words: int) -> np.ndarray:
     return (mix(shingles ^ np.uint64(words * 2 + 1)) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def _items(items: DataFrame) -> DataFrame:
-    """Words, fingerprint, shingles and bit table slots of each item with words."""
+def _items(items: DataFrame, unnamed: bool) -> DataFrame:
+    """Words, fingerprint, shingles and bit table slots of each item with words.
+
+    With `unnamed`, items of five words or more that have no id get a hash of their text as one.
+    """
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         with np.errstate(over="ignore"):
             for batch in batches:
                 out = []
-                for item_id, text in zip(batch["item_id"], batch["text"], strict=True):
+                for item_id, named, text in zip(batch["item_id"], batch["named"], batch["text"], strict=True):
                     words = words_of(text)
-                    if words:
+                    if words and (named or len(words) >= LENGTH):
                         s = shingle_hashes(hashes(words), LENGTH)
                         print_ = fingerprints(s, np.zeros(1, dtype=np.int64), len(s)).view(np.int64)[0]
                         slots = np.concatenate([_slot(s, len(words)), _slot(s, 0)])
@@ -87,7 +90,11 @@ def _items(items: DataFrame) -> DataFrame:
                 yield pd.DataFrame(out, columns=["item_id", "words", "print", "shingles", "slots"])
 
     schema = "item_id long, words int, print long, shingles binary, slots array<long>"
-    read = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null")
+    item_id = F.col("item_id").cast("long")
+    read = items.select(
+        F.coalesce(item_id, F.xxhash64("text")).alias("item_id"), item_id.isNotNull().alias("named"), "text"
+    )
+    read = read if unnamed else read.filter("named")
     return stage(read.mapInPandas(made, schema), "decontamination-items")
 
 
@@ -163,19 +170,20 @@ def _blocks(fingerprint: Column) -> Column:
     return F.array(*[F.struct(F.lit(b).alias("block"), v.cast("int").alias("value")) for b, v in enumerate(values)])
 
 
-def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, unnamed: bool = False) -> DataFrame:
     """Pairs of documents and benchmark items that match, one row per pair.
 
     Reads `doc_id` and `text`, and `item_id` and `text`; other columns may have
     any name. Returns doc_id, item_id, similarity, start (of the best window, the
     earliest of equal ones, in shingles), words (of the item), h1 and h2 (hashes
-    of the text). Items without id or words match nothing, nor do texts without
-    words. A text shorter than the item is one window. Items of fewer than five
+    of the text). Items without words match nothing, nor do texts without
+    words. Items without an id match nothing either, or with `unnamed`, if they
+    have five words or more, under a hash of their text. A text shorter than the item is one window. Items of fewer than five
     words must occur as a whole. Repeated rows give one row; documents without
     an id are reported with a null one. Empty tables give an empty result.
     """
     spark = docs.sparkSession
-    known = _items(items)
+    known = _items(items, unnamed)
     lengths = [row.words for row in known.select("words").distinct().orderBy("words").collect()]
     schema = "doc_id long, item_id long, similarity double, start int, words int, h1 long, h2 long"
     if not lengths:
@@ -222,9 +230,12 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """`docs` without the documents that match an item; rows and columns are otherwise as they were."""
+    """`docs` without the documents that match an item; rows and columns are otherwise as they were.
+
+    Items without an id count too if they have five words or more.
+    """
     texts = F.col("_row.text")
-    bad = stage(matches(docs, items).select("h1", "h2").distinct(), "decontamination-matches")
+    bad = stage(matches(docs, items, unnamed=True).select("h1", "h2").distinct(), "decontamination-matches")
     rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row"))
     rows = rows.withColumns({"h1": F.xxhash64(texts), "h2": F.xxhash64(F.lit(1), texts)})
     return rows.join(bad, ["h1", "h2"], "left_anti").select("_row.*")

@@ -99,6 +99,15 @@ def test_edges_and_clean(spark):
     assert decontamination.clean(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_items_without_an_id_clean_documents(spark):
+    rows = [(1, "x one two three four five six seven y"), (2, "a b c d e"), (3, "something else that is clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = [(None, "one two three four five six seven"), (None, "A b, c d e!"), (4, "not in any of the documents")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert [r.doc_id for r in decontamination.clean(docs, bench).collect()] == [3]
+    assert decontamination.matches(docs, bench).count() == 0
+
+
 def test_radius_covers_the_similarity():
     """Windows at the threshold lie within the radius; the blocks meet every fingerprint within it."""
     random = np.random.default_rng(1)
