@@ -55,3 +55,58 @@ walk AS (
 ends AS (SELECT i, l * b + r AS x FROM walk WHERE t > 0 AND t % {ROUNDS} = 0 AND l * b + r < n)
 SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(x % {count} AS INTEGER) AS shard, x // {count} AS slot,
   CAST(NULL AS INTEGER) AS grown_shard FROM numbered JOIN ends USING (i)"""
+
+
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR) END"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a text's UTF-8 bytes."""
+    crc = _crc_step(_crc_step("xor(c, b)"))
+    return f"""xor(4294967295, list_reduce(
+      list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: CAST('0x' || x AS BIGINT)),
+      lambda c, b: {crc}, CAST(4294967295 AS BIGINT)))"""
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+MERKLE = f"""
+WITH RECURSIVE plain AS MATERIALIZED (
+  SELECT doc_id, source, {_LEAF.format('text')} AS leaf,
+    CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 5 = 0 THEN {_LEAF.format(_LOWER)} END AS changed
+  FROM documents),
+leaves AS MATERIALIZED (
+  SELECT doc_id, coalesce('s' || source, '') AS s, leaf, coalesce(changed, leaf) AS own, row_number() OVER () AS r,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n
+  FROM plain),
+low AS (
+  SELECT s, 0 AS l, i, leaf AS h, n FROM leaves
+  UNION ALL
+  SELECT s, l + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (n + 15) // 16 FROM low WHERE n > 1 GROUP BY s, l, i // 16, n),
+tops AS MATERIALIZED (
+  SELECT s, h AS subroot, row_number() OVER (ORDER BY encode(s)) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS l, i, subroot AS h, n FROM tops
+  UNION ALL
+  SELECT l + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (n + 15) // 16 FROM high WHERE n > 1 GROUP BY l, i // 16, n),
+runs AS MATERIALIZED (
+  SELECT s, l, i // 16 AS j, n, list(h ORDER BY i) AS hs FROM low GROUP BY s, l, i // 16, n
+  UNION ALL
+  SELECT NULL, l, i // 16, n, list(h ORDER BY i) FROM high GROUP BY l, i // 16, n),
+fold_low AS (
+  SELECT r, s, 0 AS l, i, n, own AS h, '' AS proof FROM leaves
+  UNION ALL
+  SELECT r, f.s, f.l + 1, i // 16, (f.n + 15) // 16,
+    sha256(array_to_string(hs[:i % 16], '') || h || array_to_string(hs[i % 16 + 2:], '')),
+    proof || array_to_string(hs[:i % 16], '') || array_to_string(hs[i % 16 + 2:], '')
+  FROM fold_low f JOIN runs u ON u.s = f.s AND u.l = f.l AND u.j = i // 16 WHERE f.n > 1),
+fold_high AS (
+  SELECT r, 0 AS l, t.i, t.n, h, proof FROM fold_low f JOIN tops t USING (s) WHERE f.n = 1
+  UNION ALL
+  SELECT r, f.l + 1, i // 16, (f.n + 15) // 16,
+    sha256(array_to_string(hs[:i % 16], '') || h || array_to_string(hs[i % 16 + 2:], '')),
+    proof || array_to_string(hs[:i % 16], '') || array_to_string(hs[i % 16 + 2:], '')
+  FROM fold_high f JOIN runs u ON u.s IS NULL AND u.l = f.l AND u.j = i // 16 WHERE f.n > 1)
+SELECT doc_id, leaf, subroot, root.h AS root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = root.h AS verified
+FROM leaves JOIN tops USING (s) JOIN (SELECT * FROM fold_high WHERE n = 1) f USING (r), (SELECT h FROM high WHERE n = 1) root"""

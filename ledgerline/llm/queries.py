@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontamination, extraction, jaccard, mixing, oracle, pii, quality, search, sharding, toxicity, warc
+from ledgerline.llm import decontamination, extraction, jaccard, merkle, mixing, oracle, pii, quality, search, sharding, toxicity, warc
 from ledgerline.llm.common import held_out, table
 from ledgerline.sources.tables import stage_path
 
@@ -76,6 +76,10 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pseudonyms,
         op9_warc,
         op10_main_text,
+        op11_merkle_manifest,
     )
 }
 
@@ -97,4 +102,5 @@ ORACLE: dict[str, str] = {
     "op2_pivot_search": oracle.SEARCH,
     "op3_feistel_shards": oracle.shards(SHARDS, SHARD_SEED),
     "op9_warc": oracle.ARCHIVE,
+    "op11_merkle_manifest": oracle.MERKLE,
 }
