@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontamination, extraction, jaccard, merkle, mixing, oracle, pii, quality, search, sharding, toxicity, warc
+from ledgerline.llm import decontamination, extraction, jaccard, merkle, mixing, oracle, pii, quality, rules, search, sharding, toxicity, warc
 from ledgerline.llm.common import held_out, table
 from ledgerline.sources.tables import stage_path
 
@@ -80,6 +80,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proofs(table(spark, sf_dir, "documents"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    forest = rules.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return rules.judged(docs, forest)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -94,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_warc,
         op10_main_text,
         op11_merkle_manifest,
+        op12_quality_rules,
     )
 }
 
