@@ -110,3 +110,36 @@ fold_high AS (
   FROM fold_high f JOIN runs u ON u.s IS NULL AND u.l = f.l AND u.j = i // 16 WHERE f.n > 1)
 SELECT doc_id, leaf, subroot, root.h AS root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = root.h AS verified
 FROM leaves JOIN tops USING (s) JOIN (SELECT * FROM fold_high WHERE n = 1) f USING (r), (SELECT h FROM high WHERE n = 1) root"""
+
+SPELLING = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+counts AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY doc_id, run),
+drawn AS (SELECT *, {_crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM counts),
+spoilt AS (
+  SELECT n, CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+  FROM drawn),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spoilt WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+holes AS MATERIALIZED (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM words, unnest(range(length(word))) AS t(i)),
+pairs AS (
+  SELECT a.word, b.word AS other FROM holes a JOIN words b ON a.rest = b.word
+  UNION
+  SELECT b.word, a.word FROM holes a JOIN words b ON a.rest = b.word
+  UNION
+  SELECT a.word, b.word FROM holes a JOIN holes b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word),
+near AS (
+  SELECT p.word, count(*) AS n_near, arg_min(p.other, {{'n': -o.n, 'w': encode(p.other)}}) AS best, max(o.n) AS best_n
+  FROM pairs p JOIN words o ON o.word = p.other GROUP BY p.word),
+formed AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * w.n THEN best END AS form,
+    CASE WHEN best_n >= 2 * w.n THEN best_n END AS form_n
+  FROM words w LEFT JOIN near USING (word)),
+walk AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL
+  SELECT walk.word, f.form FROM walk JOIN formed f ON f.word = walk.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, walk.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN walk ON walk.word = f.word JOIN formed e ON e.word = walk.at WHERE e.form IS NULL"""

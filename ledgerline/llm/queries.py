@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontamination, extraction, jaccard, merkle, mixing, oracle, pii, quality, rules, search, sharding, toxicity, warc
+from ledgerline.llm import decontamination, extraction, jaccard, merkle, mixing, oracle, pii, quality, rules, search, sharding, spelling, toxicity, warc
 from ledgerline.llm.common import held_out, table
 from ledgerline.sources.tables import stage_path
 
@@ -86,6 +86,10 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(docs, forest)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -101,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_main_text,
         op11_merkle_manifest,
         op12_quality_rules,
+        op13_spelling_variants,
     )
 }
 
@@ -110,4 +115,5 @@ ORACLE: dict[str, str] = {
     "op3_feistel_shards": oracle.shards(SHARDS, SHARD_SEED),
     "op9_warc": oracle.ARCHIVE,
     "op11_merkle_manifest": oracle.MERKLE,
+    "op13_spelling_variants": oracle.SPELLING,
 }
