@@ -17,8 +17,13 @@ together, and so in at most that many coordinates.
    in linear work.
 4. Where a page still holds several components, its points are packed into an
    R-tree by size; node and point pairs are kept by summed minima of box tops
-   and points, and only between different components.
-5. All kept pairs are verified on the shingle sets of the whole texts.
+   and points, and only between different components. Of the pairs that the
+   bound leaves in a page, a round takes only as many as join its components
+   (a spanning forest), so its pairs grow with the rows and not their square.
+5. The pairs of a round are verified on the shingle sets of the whole texts.
+   Similar ones join components, the others are told to the next round, which
+   takes more forests. The rounds end when the bound leaves no pair between
+   different components, so no link between components is missed.
 
 Shingles and classes are told apart by 64-bit hashes.
 """
@@ -45,7 +50,10 @@ FILL = 0.375  # blocks per shingle of the largest class of a size band
 LEAF = 32  # points of an R-tree leaf
 FIRST = 2  # centres that each class is compared with first
 FILTER_BITS = 24  # of the table that tells which texts may be wanted: 2 MB
-PAGE = 2_048  # points of a page that meet in one task
+PAGE = 2_048  # points of a page that meet in one task, at most
+PAGE_BYTES = 1 << 20  # and their bytes
+MOST_FORESTS = 512  # of a round; the first takes two, each later one four times as many
+ALONE = 2  # rounds in which the slices of a large page are taken each by itself
 
 
 def class_of(shingles: np.ndarray) -> int:
@@ -124,19 +132,41 @@ def fold(counts: np.ndarray, bits: int) -> np.ndarray:
     return counts if len(counts) == 1 << bits else counts.reshape(1 << bits, -1).sum(1)
 
 
-def near_pairs(points: np.ndarray, sizes: np.ndarray, roots: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of rows of different roots (and sides, if there are two) that the bound leaves.
+def linking_pairs(
+    points: np.ndarray,
+    sizes: np.ndarray,
+    roots: np.ndarray,
+    side: np.ndarray,
+    refused: dict[int, list[int]] | None = None,
+    forests: int = 1,
+) -> tuple[list[tuple[int, int]], bool]:
+    """Pairs of rows of different roots (and sides, if there are two) that the bound leaves and that join roots.
+
+    Each of the `forests` joins, as far as the pairs allow, all roots that can be
+    joined, and holds fewer pairs than there are rows; no pair is in two of them.
+    Pairs that are `refused` (both ways) are left out. Also tells whether the
+    bound may leave pairs that no forest took.
 
     An R-tree of one level, packed by size: boxes hold the highest count of each
-    group and the smallest size of a leaf.
+    group and the smallest size of a leaf. The minima of two points sum up to the
+    number of (group, k) for which both have k or more: a product of 0/1 rows.
     """
     order = np.argsort(sizes, kind="stable")
     points, sizes, roots, side = points[order], sizes[order], roots[order], side[order]
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    refused = refused or {}
     starts = np.arange(0, len(order), LEAF)
     tops = np.maximum.reduceat(points, starts, axis=0)
     lows, highs = sizes[starts], np.maximum.reduceat(sizes, starts)
+    reached = []
+    for k in range(1, int(points.max(initial=0)) + 1):
+        has = points >= k
+        reached.append(has[:, has.sum(0) > 1].astype(np.float32))
+    reached = np.hstack(reached) if reached else np.zeros((len(order), 1), dtype=np.float32)
     two = side.min() != side.max()
-    out = []
+    named = np.tile(np.unique(roots, return_inverse=True)[1], (forests, 1))
+    out, left = [], False
     for i, start in enumerate(starts):
         others = np.arange(i, len(starts))
         others = others[100 * highs[i] >= PERCENT * lows[others]]
@@ -146,14 +176,30 @@ def near_pairs(points: np.ndarray, sizes: np.ndarray, roots: np.ndarray, side: n
             continue
         inside = (others[:, None] * LEAF + np.arange(LEAF)).ravel()
         inside = inside[inside < len(order)]
-        for x in range(start, min(start + LEAF, len(order))):
-            y = inside[(inside > x) & (roots[inside] != roots[x])]
-            if two:
-                y = y[side[y] != side[x]]
-            y = y[100 * sizes[x] >= PERCENT * sizes[y]]
-            y = y[9 * np.minimum(points[x], points[y]).sum(1) >= 4 * (sizes[x] + sizes[y])]
-            out += [(int(order[x]), int(order[z])) for z in y]
-    return out
+        rows = np.arange(start, min(start + LEAF, len(order)))
+        both = np.rint(reached[rows] @ reached[inside].T).astype(np.int64)
+        near = 9 * both >= 4 * (sizes[rows, None] + sizes[inside])
+        near &= (inside > rows[:, None]) & (roots[inside] != roots[rows, None])
+        near &= 100 * sizes[rows, None] >= PERCENT * sizes[inside]
+        if two:
+            near &= side[inside] != side[rows, None]
+        for x in rows[near.any(1)]:
+            y, overlap = inside[near[x - start]], both[x - start, near[x - start]]
+            if int(order[x]) in refused:
+                new = ~np.isin(y, place[refused[int(order[x])]])
+                y, overlap = y[new], overlap[new]
+            y = y[np.argsort(-overlap / (sizes[x] + sizes[y]), kind="stable")]  # the likeliest first
+            for name in named:
+                if not len(y):
+                    break
+                _, first = np.unique(name[y], return_index=True)
+                taken = first[name[y[first]] != name[x]]
+                if len(taken):
+                    out += [(int(order[x]), int(order[z])) for z in y[taken]]
+                    name[np.isin(name, name[y[taken]])] = name[x]
+                    y = np.delete(y, taken)
+            left |= len(y) > 0
+    return out, left
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,28 +304,44 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     return pairs.select("a", "b").join(one, "a").join(other, "b").mapInArrow(verify, "a long, b long")
 
 
-def _page_pairs(rest: DataFrame) -> DataFrame:
-    """Pairs the R-tree leaves in pages of several components; rows: page, cls, n, root, point.
+def _page_pairs(rows: DataFrame, turn: int) -> DataFrame:
+    """The pairs (`a`, `b`) that a round takes, and the pages (`page`) it has not done with; rows: page, cls, n, root, point, refused, main, units, others.
 
-    A page of more than `PAGE` points is dealt into slices; each pair of slices
-    is one group, so no task gets more than two of them.
+    `units` and `others` tell for how many tasks the page's main root and all its
+    other roots have rows. A page for more than one task is dealt into slices; of
+    the main root, only pairs with slices of the others meet. In the first rounds
+    each slice is taken by itself, which joins most of a large group cheaply.
     """
-    page = Window.partitionBy("page")
-    counted = rest.withColumn("slices", F.ceil(F.count(F.lit(1)).over(page) / F.lit(PAGE)).cast("int"))
-    dealt = counted.withColumn("slice", F.pmod(F.xxhash64("cls"), F.col("slices")).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
-    )
+    draw = F.xxhash64("cls", F.lit(turn))
+    small = F.col("units") + F.col("others") <= 1
+    main = F.col("root") == F.col("main")
+    mains, rest = F.greatest(F.lit(1), F.ceil("units")).cast("int"), F.greatest(F.lit(1), F.ceil("others")).cast("int")
+    every = F.ceil(F.col("units") + F.col("others")).cast("int")
+    if turn < ALONE:
+        slice_ = F.when(small, 0).otherwise(F.pmod(draw, every)).cast("int")
+        other = F.array("slice")
+    else:
+        slice_ = F.when(small, 0).when(main, F.pmod(draw, mains)).otherwise(mains + F.pmod(draw, rest)).cast("int")
+        other = F.when(small, F.array(F.lit(0))).otherwise(
+            F.sequence(F.when(main, mains).otherwise(0), mains + rest - 1)
+        )
+    dealt = rows.withColumn("slice", slice_).withColumn("other", F.explode(other))
     dealt = dealt.withColumn("one", F.least("slice", "other")).withColumn("two", F.greatest("slice", "other"))
 
-    columns = ["page", "one", "two", "slice", "cls", "n", "root", "point"]
+    columns = ["page", "one", "two", "slice", "cls", "n", "root", "point", "refused"]
     group = ["page", "one", "two"]
-    parts = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    together = dealt.select(*columns).repartition(parts, *group).sortWithinPartitions(*group)
-    return together.mapInArrow(_kept_pairs, "a long, b long").distinct()
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    together = dealt.select(*columns).repartition(parts, *group).sortWithinPartitions(*group, "cls")
+    forests = min(2 << 2 * turn, MOST_FORESTS)
 
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _kept_pairs(batches, forests)
 
-def _kept_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs that the bound leaves in each run of rows of one group; rows come sorted by group."""
+    return together.mapInArrow(kept, "a long, b long, page long").distinct()
+
+
+def _kept_pairs(batches: Iterator[pa.RecordBatch], forests: int) -> Iterator[pa.RecordBatch]:
+    """The pairs taken in each run of rows of one group; rows come sorted by group."""
     held = None
     for batch in batches:
         rows = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in batch.schema.names}
@@ -291,33 +353,84 @@ def _kept_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name in ("page", "one", "two"):
             new[1:] |= rows[name][1:] != rows[name][:-1]
         borders = np.concatenate([[0], np.flatnonzero(new)])
-        yield _pairs_of(rows, borders)
+        for start, end in zip(borders[:-1], borders[1:], strict=True):
+            yield from _pairs_of({name: values[start:end] for name, values in rows.items()}, forests)
         held = {name: values[borders[-1] :] for name, values in rows.items()}  # its group may go on
     if held is not None:
-        yield _pairs_of(held, np.array([0, len(held["page"])]))
-
-
-def _pairs_of(rows: dict[str, np.ndarray], borders: np.ndarray) -> pa.RecordBatch:
-    found: list[tuple[int, int]] = []
-    for start, end in zip(borders[:-1], borders[1:], strict=True):
-        root = rows["root"][start:end]
-        if (root == root[0]).all():
-            continue
-        n, cls, side = rows["n"][start:end], rows["cls"][start:end], rows["slice"][start:end]
-        if end - start == 2:
-            if 100 * n.min() >= PERCENT * n.max():
-                one, other = unpacked(rows["point"][start]), unpacked(rows["point"][start + 1])
-                bits = min(len(one), len(other)).bit_length() - 1
-                if 9 * np.minimum(fold(one, bits), fold(other, bits)).sum() >= 4 * n.sum():
-                    found.append((cls[0], cls[1]))
-            continue
-        counts = [unpacked(data) for data in rows["point"][start:end]]
-        bits = min(len(c) for c in counts).bit_length() - 1
-        pairs = near_pairs(np.stack([fold(c, bits) for c in counts]), n, root, side)
-        found += [(cls[i], cls[j]) for i, j in pairs]
-    pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
-    high, low = pa.array(pairs.max(1), pa.int64()), pa.array(pairs.min(1), pa.int64())
-    return pa.RecordBatch.from_arrays([high, low], ["a", "b"])
+        yield from _pairs_of(held, forests)
+
+
+def _pairs_of(rows: dict[str, np.ndarray], forests: int) -> Iterator[pa.RecordBatch]:
+    root, n, cls = rows["root"], rows["n"], rows["cls"]
+    if (root == root[0]).all():
+        return
+    bits = min(_width_bits(data) for data in rows["point"])
+    counts = [fold(unpacked(data), bits) for data in rows["point"]]
+    place = {int(name): i for i, name in enumerate(cls)}
+    refused: dict[int, list[int]] = {}
+    for i, names in enumerate(rows["refused"]):
+        for name in names if names is not None else ():
+            if (j := place.get(int(name))) is not None:
+                refused.setdefault(i, []).append(j)
+                refused.setdefault(j, []).append(i)
+    if len(cls) == 2:
+        near = 100 * n.min() >= PERCENT * n.max() and 9 * np.minimum(*counts).sum() >= 4 * n.sum()
+        pairs, left = ([(0, 1)] if near and not refused else []), False
+    else:
+        points = np.empty((len(counts), 1 << bits), dtype=np.uint8 if max(int(c.max()) for c in counts) < 256 else np.int32)
+        for i, c in enumerate(counts):
+            points[i] = c
+        pairs, left = linking_pairs(points, n, root, rows["slice"], refused, forests)
+    if pairs or left:
+        named = cls[np.array(pairs, dtype=np.int64).reshape(-1, 2)]
+        high = pa.array([*named.max(1).tolist(), *[None] * left], pa.int64())
+        low = pa.array([*named.min(1).tolist(), *[None] * left], pa.int64())
+        page = pa.array([None] * len(named) + [int(rows["page"][0])] * left, pa.int64())
+        yield pa.RecordBatch.from_arrays([high, low, page], ["a", "b", "page"])
+
+
+def _width_bits(data: bytes) -> int:
+    """Groups of a packed point, as a power of two."""
+    groups = 2 * (len(data) - 1) if data[0] == 4 else (len(data) - 1) // (data[0] // 8)
+    return groups.bit_length() - 1
+
+
+def _open_rows(members: DataFrame, groups: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Members (page, cls) of pages that hold several components, with what `_page_pairs` needs but the points."""
+    rooted = members.join(groups.select(F.col("node").alias("cls"), "root"), "cls", "left").join(sizes, "cls")
+    rooted = rooted.withColumn("root", F.coalesce("root", "cls"))
+    per_root = rooted.groupBy("page", "root").agg(F.sum("unit").alias("units"))
+    most = F.max(F.struct("units", "root"))
+    pages_ = per_root.groupBy("page").agg(F.sum("units").alias("all"), most.alias("most"), F.count(F.lit(1)).alias("roots"))
+    pages_ = pages_.filter("roots > 1").select(
+        "page", F.col("most.root").alias("main"), F.col("most.units").alias("units"), (F.col("all") - F.col("most.units")).alias("others")
+    )
+    return rooted.select("page", "cls", "n", "root").join(pages_, "page")
+
+
+def _joined_pages(
+    shared: DataFrame, groups: DataFrame, refused: DataFrame, classes: DataFrame, docs: DataFrame
+) -> DataFrame:
+    """Components after all pairs that the bound leaves in the pages have been verified or made needless."""
+    width = F.greatest(F.lit(256.0), F.pow(F.lit(2.0), F.floor(F.log2("n")) - 1))
+    unit = F.greatest(F.lit(1.0 / PAGE), width / PAGE_BYTES).alias("unit")
+    sizes = classes.select("cls", "n", unit)
+    members, turn = shared.select("page", "cls"), 0
+    while True:
+        rows = stage(_open_rows(members, groups, sizes), "jaccard-open")
+        known = refused.groupBy(F.col("a").alias("cls")).agg(F.collect_list("b").alias("refused"))
+        full = rows.join(classes.select("cls", "point"), "cls").join(known, "cls", "left")
+        found = stage(_page_pairs(full, turn), "jaccard-pairs")
+        pairs = found.filter("page is null").select("a", "b")
+        good = stage(_verified(pairs, classes, docs), "jaccard-good")
+        refused = stage(refused.unionByName(pairs.join(good, ["a", "b"], "left_anti")), "jaccard-refused")
+        groups = stage(components(good.unionByName(_as_links(groups))), "jaccard-groups")
+        undone = found.filter("page is not null").select("page")
+        if turn < ALONE:  # pairs of slices have not met
+            undone = undone.unionByName(rows.filter(F.col("units") + F.col("others") > 1).select("page")).distinct()
+        members, turn = rows.select("page", "cls").join(undone, "page", "left_semi"), turn + 1
+        if undone.isEmpty():
+            return groups
 
 
 def _as_links(groups: DataFrame) -> DataFrame:
@@ -364,7 +477,8 @@ def linked(docs: DataFrame) -> DataFrame:
         stars.agg(F.count(F.lit(1)).alias("shared")).withColumn("rank", F.row_number().over(best)), "jaccard-stars"
     )
     near = stage(_bound(stars.filter(F.col("rank") <= FIRST), points), "jaccard-near")
-    groups = stage(components(_verified(near, classes, docs)), "jaccard-groups")
+    good = stage(_verified(near, classes, docs), "jaccard-good")
+    groups = stage(components(good), "jaccard-groups")
 
     def apart(pairs: DataFrame) -> DataFrame:
         one = groups.select(F.col("node").alias("a"), F.col("root").alias("ra"))
@@ -373,24 +487,12 @@ def linked(docs: DataFrame) -> DataFrame:
         return rooted.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b"))
 
     others = apart(stars.filter(F.col("rank") > FIRST)).withColumn("rank", F.row_number().over(best))
-    others = stage(others.filter(F.col("rank") <= FIRST).select("a", "b"), "jaccard-others")
-    rest = stage(_bound(others, points), "jaccard-rest")
-    links = _verified(rest, classes, docs).unionByName(_as_links(groups))
-    groups = stage(components(links), "jaccard-groups")
-
-    rooted = shared.select("page", "cls").join(groups.select(F.col("node").alias("cls"), "root"), "cls", "left")
-    open_pages = (
-        rooted.withColumn("root", F.coalesce("root", "cls"))
-        .withColumn("low", F.min("root").over(page))
-        .withColumn("high", F.max("root").over(page))
-        .filter("low != high")
-        .select("page", "cls", "root")
-    )
-    more = _page_pairs(stage(open_pages.join(points, "cls"), "jaccard-open"))
-    tested = stars.filter(F.col("rank") <= FIRST).select("a", "b").unionByName(others)
-    more = stage(more.join(tested, ["a", "b"], "left_anti"), "jaccard-more")
-    links = _verified(more, classes, docs).unionByName(_as_links(groups))
-    groups = stage(components(links), "jaccard-groups")
+    rest = stage(_bound(others.filter(F.col("rank") <= FIRST).select("a", "b"), points), "jaccard-rest")
+    more = stage(_verified(rest, classes, docs), "jaccard-good")
+    groups = stage(components(more.unionByName(_as_links(groups))), "jaccard-groups")
+
+    tested = near.join(good, ["a", "b"], "left_anti").unionByName(rest.join(more, ["a", "b"], "left_anti"))
+    groups = _joined_pages(shared, groups, stage(tested, "jaccard-refused"), classes, docs)
 
     named = classes.select("cls", "least").join(groups.select(F.col("node").alias("cls"), "root"), "cls", "left")
     named = named.withColumn("root", F.coalesce("root", "cls"))

@@ -166,3 +166,52 @@ def test_points_are_packed_without_loss():
         counts = np.zeros(256, dtype=np.int32)
         counts[3], counts[4], counts[255] = top, top // 2, 1
         assert (jaccard.unpacked(jaccard.packed(counts)) == counts).all()
+
+
+def test_linking_pairs_join_what_the_bound_leaves():
+    """Rounds of forests, with every pair refused, meet all pairs the bound leaves; without, they join the same roots."""
+    random = np.random.default_rng(4)
+    base = np.bincount(random.integers(0, 64, 60), minlength=64)
+    points = np.array([np.bincount(random.permutation(np.repeat(np.arange(64), base))[:55], minlength=64) for _ in range(90)])
+    points = points.astype(np.uint8)
+    sizes, roots, side = points.sum(1).astype(int) + random.integers(0, 3, 90), random.integers(0, 70, 90), random.integers(0, 2, 90)
+    for sides in (np.zeros(90, dtype=int), side):
+        want = {
+            (i, j)
+            for i in range(90)
+            for j in range(i)
+            if roots[i] != roots[j]
+            and (sides is not side or side[i] != side[j])
+            and 100 * min(sizes[i], sizes[j]) >= 80 * max(sizes[i], sizes[j])
+            and 9 * np.minimum(points[i], points[j]).sum() >= 4 * (sizes[i] + sizes[j])
+        }
+        assert want
+        met, forests, left = set(), 1, True
+        while left:
+            refused = {}
+            for i, j in met:
+                refused.setdefault(i, []).append(j)
+                refused.setdefault(j, []).append(i)
+            pairs, left = jaccard.linking_pairs(points, sizes, roots, sides, refused, forests)
+            pairs = {(max(p), min(p)) for p in pairs}
+            assert pairs <= want - met and len(pairs) < 90 * forests
+            met, forests = met | pairs, 2 * forests
+        assert met == want
+        once, _ = jaccard.linking_pairs(points, sizes, roots, sides)
+        assert _joined(once, roots) == _joined(want, roots)
+
+
+def _joined(pairs, roots):
+    names = {r: r for r in roots.tolist()}
+
+    def find(x):
+        while names[x] != x:
+            x = names[x]
+        return x
+
+    for i, j in pairs:
+        names[find(int(roots[i]))] = find(int(roots[j]))
+    groups = defaultdict(set)
+    for r in names:
+        groups[find(r)].add(r)
+    return sorted(map(sorted, groups.values()))
