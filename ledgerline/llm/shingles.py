@@ -14,7 +14,7 @@ import pyarrow as pa
 
 from ledgerline.llm.common import mix
 
-CHUNK = 2 << 20  # bytes of text hashed in one step; a longer text is one step of its own
+CHUNK = 1 << 19  # bytes of text hashed in one step; a longer text is one step of its own
 LENGTH = 5
 
 _BASE = 0x9E3779B97F4A7C15
