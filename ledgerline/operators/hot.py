@@ -1,9 +1,12 @@
 """Finding heavy keys and spreading them over many tasks.
 
-A key is *hot* when it holds more rows than one task should sort. The list of
-hot keys is measured, never guessed. It is bounded twice: a hot key holds more
-than ``rows`` rows, and at most ``MAX_HOT`` keys (the largest) are listed. A key
-left off a full list holds at most 1/MAX_HOT of all rows.
+A key is *hot* when it holds more rows than an even part of the table, the total
+divided by the number of shuffle partitions. So there are fewer hot keys than
+partitions, whatever the data, and none is left off. NULL is a key like any other.
+
+Rows of hot keys are cut by range over (key, order) into stored slices, as the
+rows of a sort are. A key with a third of all rows in one second spreads over a
+third of the slices, if the order tells its rows apart.
 """
 
 from __future__ import annotations
@@ -13,55 +16,67 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 2_000_000
-MAX_HOT = 10_000
-SLICE_SECONDS = 60
-SALTS = 64
+from ledgerline.sources.tables import stage
+
 SLICE = "_slice"
 
 
+def parts_of(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def count_rows(df: DataFrame, key: str) -> DataFrame:
-    """Rows per key, named ``key`` and ``n``; combines before the shuffle."""
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("key"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    """Rows per key (NULL included), named ``key`` and ``n``; combines before the shuffle."""
+    return df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def heaviest(counts: DataFrame, rows: int = HOT_ROWS) -> list:
-    """Keys with more than ``rows`` rows out of partial counts (key, n)."""
-    top = (
-        counts.groupBy("key")
-        .agg(F.sum("n").alias("n"))
-        .where(F.col("n") > rows)
-        .orderBy(F.desc("n"), "key")
-        .limit(MAX_HOT)
-    )
+def heaviest(counts: DataFrame, rows: int | None = None) -> list:
+    """Keys with more than ``rows`` rows out of partial counts (key, n), the largest first.
+
+    Without ``rows`` an even part of the table is the limit, so the list is
+    shorter than the number of partitions.
+    """
+    totals = counts.groupBy("key").agg(F.sum("n").alias("n"))
+    limit = F.lit(rows) if rows is not None else totals.agg(F.sum("n") / parts_of(counts)).scalar()
+    top = totals.where(F.col("n") > F.coalesce(limit, F.lit(0))).orderBy(F.desc("n"), "key")
     return [row["key"] for row in top.collect()]
 
 
-def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> list:
+def hot_keys(df: DataFrame, key: str, rows: int | None = None) -> list:
     return heaviest(count_rows(df, key), rows)
 
 
-def time_slice(key: str, seconds: Column, hot: Sequence, grain: int = SLICE_SECONDS) -> Column:
-    """Slice number of a row of a hot key, NULL for every other key.
+def among(key: str | Column, hot: Sequence) -> Column:
+    """Whether a key is one of the listed ones; never NULL."""
+    key = F.col(key) if isinstance(key, str) else key
+    named = F.coalesce(key.isin([k for k in hot if k is not None]), F.lit(False))
+    return named | key.isNull() if None in hot else named
 
-    Slices grow with time, so they cut a key's ordered rows into consecutive
-    runs. Windows then run per (key, slice) and ``running`` joins the runs up.
-    """
+
+def time_slice(key: str, seconds: Column, hot: Sequence, grain: int) -> Column:
+    """Slice number by time of a row of a hot key, NULL for every other key."""
     if not hot:
         return F.lit(None).cast("bigint")
-    return F.when(F.col(key).isin(list(hot)), F.floor(seconds / grain))
+    return F.when(among(key, hot), F.floor(seconds / grain))
+
+
+def cut_slices(rows: DataFrame, key: str, order: Sequence[Column], label: str) -> DataFrame:
+    """Rows of hot keys, stored, with the number of their range over (key, order) in ``SLICE``.
+
+    Slices of a key are consecutive runs of its rows in that order; rows equal
+    in it share a slice. Windows then run per (key, slice) and ``running`` joins
+    the runs up.
+    """
+    ranged = rows.repartitionByRange(parts_of(rows), F.asc_nulls_first(key), *order)
+    return stage(ranged.withColumn(SLICE, F.spark_partition_id()), label)
 
 
 def only(df: DataFrame, key: str, hot: Sequence) -> DataFrame:
-    return df.where(F.col(key).isin(list(hot)))
+    return df.where(among(key, hot))
 
 
 def without(df: DataFrame, key: str, hot: Sequence) -> DataFrame:
-    return df.where(~F.coalesce(F.col(key).isin(list(hot)), F.lit(False)))
+    return df.where(~among(key, hot))
 
 
 def apart(
@@ -87,18 +102,18 @@ def lookup(
     on: str,
     how: str = "left",
     hot: Sequence = (),
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join a fact to a dimension with one row per key, salting hot keys.
 
-    Rows of a hot key are dealt over ``salts`` tasks and its single dimension
-    row is repeated that often. Without hot keys this is a plain join, which
+    Rows of a hot key are dealt over ``salts`` tasks (as many as partitions) and
+    its single dimension row is repeated that often. Without hot keys this is a plain join, which
     Spark turns into a broadcast join when the measured size allows.
     """
     if not hot:
         return fact.join(dim, on, how)
-    keys = list(hot)
-    is_hot = F.col(on).isin(keys)
+    salts = salts or parts_of(fact)
+    is_hot = among(on, hot)
     spread = fact.withColumn(
         "_salt", F.when(is_hot, F.pmod(F.xxhash64(*fact.columns), F.lit(salts))).otherwise(F.lit(0))
     )

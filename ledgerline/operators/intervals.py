@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.dates import epoch_seconds
-from ledgerline.operators.hot import SLICE, time_slice
+from ledgerline.operators.hot import SLICE, cut_slices
 from ledgerline.operators.running import Latest, Previous, running
 from ledgerline.sources.tables import stage
 
@@ -32,7 +31,7 @@ def interval_join(
     and starts are put in time order and each fact sees the start before it.
     Where an interval runs past the next start, the part that runs over is
     joined separately. ``intervals`` is read several times: pass a staged frame.
-    With ``hot`` keys the result carries their slice column.
+    Give all keys as ``hot`` if the rows of one may be too many for a task.
     """
     slice_by = SLICE if hot else None
     applies = F.lit(True) if applies is None else applies
@@ -42,7 +41,8 @@ def interval_join(
     points = facts.withColumn("_t", F.col(at)).withColumn("_fact", F.lit(True))
     rows = points.unionByName(starts, allowMissingColumns=True)
     if hot:
-        rows = rows.withColumn(SLICE, time_slice(key, epoch_seconds(F.col("_t")), hot))
+        spread = F.xxhash64(*facts.columns)  # lets a cut fall between facts of one time
+        rows = cut_slices(rows, key, [F.asc_nulls_first("_t"), F.asc_nulls_first("_fact"), F.asc("_iv"), spread], "interval-cut")
     # At one time, starts come before facts; the order among facts does not matter.
     order = [F.asc_nulls_first("_t"), F.asc_nulls_first("_fact"), F.asc("_iv")]
     seen = running(rows, [key], order, {"_last": Latest(F.col("_iv"))}, slice_by).where("_fact")
@@ -50,15 +50,14 @@ def interval_join(
     seen = seen.withColumn("_hit", F.when(applies & inside, F.col("_last"))).drop("_t", "_fact", "_iv", "_last")
     over = stage(_overhang(intervals.select(key, info.alias("_iv")), key, hot), "interval-overhang")
     seen = _add_overhang(stage(seen, "interval-facts"), over, key, at, applies)
-    keep = [*facts.columns, *([slice_by] if slice_by else [])]
-    return seen.select(*keep, *[F.col(f"_hit.{c}").alias(c) for c in carry])
+    return seen.select(*facts.columns, *[F.col(f"_hit.{c}").alias(c) for c in carry])
 
 
 def _overhang(intervals: DataFrame, key: str, hot: Sequence) -> DataFrame:
     """Parts of intervals that lie after the start of the next one of their key."""
     rows = intervals
     if hot:
-        rows = rows.withColumn(SLICE, time_slice(key, epoch_seconds(F.col("_iv.start")), hot))
+        rows = cut_slices(rows, key, [F.asc("_iv")], "overhang-cut")
     later = running(rows, [key], [F.desc("_iv")], {"_next": Previous(F.col("_iv.start"))}, SLICE if hot else None, True)
     return later.where(F.col("_iv.end") > F.col("_next")).select(key, "_next", F.col("_iv").alias("_over"))
 

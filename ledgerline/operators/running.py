@@ -2,7 +2,7 @@
 
 ``running`` evaluates values such as "previous row", "last valid value so far"
 or "sum so far" over the rows of a key. Normally that is one Spark window per
-key. When the caller gives a slice column (see ``hot.time_slice``), the rows of
+key. When the caller gives a slice column (see ``hot.cut_slices``), the rows of
 hot keys are windowed per (key, slice) and staged; a table with one row per
 slice carries each value from slice to slice and is joined back. Rows with a
 NULL slice never touch that table. Both ways give the same result.
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerline.operators.hot import HOT_ROWS, SLICE, apart, hot_keys, time_slice
+from ledgerline.operators.hot import SLICE, apart, cut_slices, hot_keys
 from ledgerline.sources.tables import stage
 
 UNBOUNDED = W.unboundedPreceding
@@ -176,7 +176,11 @@ def running(
         slice_by,
         *[op.before_slice(across, F.col(f"_of_{name}")).alias(f"_pre_{name}") for name, op in values.items()],
     )
-    joined = local.join(carried, [*keys, slice_by], "left")
+    renamed = carried.select("*", *[F.col(k).alias(f"_of_{k}") for k in [*keys, slice_by]]).drop(*keys, slice_by)
+    same = F.lit(True)
+    for k in [*keys, slice_by]:  # NULL is a key like any other; a NULL slice meets none
+        same = same & (F.col(k) == F.col(f"_of_{k}") if k == slice_by else F.col(k).eqNullSafe(F.col(f"_of_{k}")))
+    joined = local.join(renamed, same, "left")
     return joined.select(
         *[c for c in df.columns],
         *[
@@ -192,18 +196,17 @@ def running_measured(
     seconds: Column,
     order: Sequence[Column],
     values: Mapping[str, object],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """``running`` with the keys too big for one task found first.
 
     Keys are counted by the first key column. ``order`` must start with the time
-    that ``seconds`` gives.
+    that ``seconds`` gives, and not depend on the other key columns.
     """
     first = key[0]
     hot = hot_keys(df, first, hot_rows)
 
     def sliced(rows: DataFrame) -> DataFrame:
-        cut = rows.withColumn(SLICE, time_slice(first, seconds, hot))
-        return running(cut, key, order, values, SLICE).drop(SLICE)
+        return running(cut_slices(rows, first, [seconds, *order], "running-cut"), key, order, values, SLICE).drop(SLICE)
 
     return apart(df, first, hot, lambda rows: running(rows, key, order, values), sliced)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.dates import epoch_seconds, local_time, month_start, quarter_start, year_start
 from ledgerline.functions.money import full_price, tax_exclusive, unit_price
-from ledgerline.operators.hot import SLICE, apart, only, time_slice, without
+from ledgerline.operators.hot import SLICE, apart, cut_slices, only, without
 from ledgerline.operators.intervals import interval_join
 from ledgerline.operators.matching import first_per, nearby_history, sole_rows
 from ledgerline.operators.running import LatestOfAll, Previous, SumSoFar, TotalOfAll, running
@@ -113,10 +113,6 @@ def invoice_base(
     )
 
 
-def sliced(rows: DataFrame, at: str, hot: Sequence, key: str = "workspaceid") -> DataFrame:
-    return rows.withColumn(SLICE, time_slice(key, epoch_seconds(F.col(at)), hot))
-
-
 def with_voucher_plan(base: DataFrame, plan_types: DataFrame) -> DataFrame:
     """Mark zero-amount invoices of a paid voucher plan; add the plan's resets."""
     voucher = (F.col("depth1_name") == VOUCHER_CATEGORY) & (F.col("depth5_name") != FREE)
@@ -125,10 +121,13 @@ def with_voucher_plan(base: DataFrame, plan_types: DataFrame) -> DataFrame:
     return rows.withColumn("is_voucher", F.coalesce(F.col("_plan") & (F.col("finalamount") == 0), F.lit(False))).drop("_plan")
 
 
+VOUCHER_ORDER = ["createdat", "purchaseitemid", "paymentid"]
+
+
 def number_vouchers(rows: DataFrame, slice_by: str | None = None) -> DataFrame:
     """Positions of a voucher among those of its workspace and title, and prices."""
     one = F.lit(1).cast("bigint")
-    order = [F.asc_nulls_last("createdat"), F.asc_nulls_last("purchaseitemid"), F.asc_nulls_last("paymentid")]
+    order = [F.asc_nulls_last(c) for c in VOUCHER_ORDER]
     key = ["workspaceid", "title", "is_voucher"]
     found = running(rows, key, order, {"r_num": SumSoFar(one), "_all": TotalOfAll(one)}, slice_by)
     title, resets = F.col("title"), F.col("_resets")
@@ -140,6 +139,10 @@ def number_vouchers(rows: DataFrame, slice_by: str | None = None) -> DataFrame:
     )
 
 
+def _voucher_slices(rows: DataFrame) -> DataFrame:
+    return cut_slices(rows, "workspaceid", [F.asc_nulls_last(c) for c in VOUCHER_ORDER], "voucher-cut")
+
+
 def voucher_amount() -> Column:
     """The first voucher of a series carries the whole value, the others none."""
     first = F.col("r_num") == 1
@@ -153,7 +156,7 @@ def voucher_positions(base: DataFrame, plan_types: DataFrame, hot: Sequence = ()
         "workspaceid",
         hot,
         number_vouchers,
-        lambda rows: number_vouchers(sliced(rows, "createdat", hot), SLICE).drop(SLICE),
+        lambda rows: number_vouchers(_voucher_slices(rows), SLICE).drop(SLICE),
     )
     return found.select("purchaseitemid", "workspaceid", "r_num", "r_num_inverse", "price", "origin_price")
 
@@ -207,6 +210,8 @@ def _adjust(invoices: DataFrame, intervals: DataFrame, hot: Sequence = ()) -> Da
         F.col("purchaseitemcategory") == "EXTRACHARGE",
         hot,
     )
+    if hot:
+        rows = _voucher_slices(rows)
     rows = number_vouchers(rows, slice_by)
     # An invoice paid twice has its item twice; either row takes the item's amount.
     amount = F.when(F.col("is_voucher"), voucher_amount())
@@ -229,6 +234,8 @@ def _adjust(invoices: DataFrame, intervals: DataFrame, hot: Sequence = ()) -> Da
         F.asc_nulls_last("paymentid"),
         F.asc_nulls_last("subscription_start"),
     ]
+    if hot:
+        rows = cut_slices(rows.drop(SLICE), "workspaceid", order, "balance-cut")
     rows = running(rows, ["workspaceid"], order, {"_sum": SumSoFar(F.col("finalamount_diff"))}, slice_by)
     return rows.select(
         "purchaseitemcategory",
@@ -320,20 +327,18 @@ def billing_calendar(ledger: DataFrame, hot: Sequence = ()) -> DataFrame:
         "_ws",
         hot,
         _calendar,
-        lambda rows: _calendar(sliced(rows, "datevalue", hot, "_ws"), SLICE).drop(SLICE),
+        lambda rows: _calendar(cut_slices(rows, "_ws", _calendar_order(), "calendar-cut"), SLICE).drop(SLICE),
     )
     return found.drop("_ws")
 
 
+def _calendar_order() -> list[Column]:
+    columns = ["datevalue", "invoiceid", "status", "paymentid", "finalamount", "subscription_start"]
+    return [F.asc_nulls_last(c) for c in columns]
+
+
 def _calendar(rows: DataFrame, slice_by: str | None = None) -> DataFrame:
-    order = [
-        F.asc_nulls_last("datevalue"),
-        F.asc_nulls_last("invoiceid"),
-        F.asc_nulls_last("status"),
-        F.asc_nulls_last("paymentid"),
-        F.asc_nulls_last("finalamount"),
-        F.asc_nulls_last("subscription_start"),
-    ]
+    order = _calendar_order()
     rows = running(rows, ["_ws"], order, {"prev_datevalue": Previous(F.col("datevalue"))}, slice_by)
     start = F.col("subscription_initial_start_point").cast("int")
     for unit, begin in CALENDAR.items():

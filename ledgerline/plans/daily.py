@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.hot import HOT_ROWS, SLICE, hot_keys, only, without
+from ledgerline.operators.hot import SLICE, hot_keys, only, without
 from ledgerline.plans import billing, events, periods, referral, titles
 from ledgerline.plans.events import SUBSCRIPTION, Labels
 from ledgerline.sources.tables import append_new, append_rows, delete_where, replace_table, stage
@@ -26,7 +26,7 @@ class Groups:
     hot: list
 
 
-def hot_workspaces(t, hot_rows: int = HOT_ROWS) -> list:
+def hot_workspaces(t, hot_rows: int | None = None) -> list:
     return events.hot_workspaces(
         t.subscription_event_log, t.subscription_event_log_v2, t.custom_eventlog, t.subscription, hot_rows
     )
@@ -45,7 +45,7 @@ def per_workspace(t, hot: list, step) -> DataFrame:
     return normal.unionByName(heavy.drop(SLICE))
 
 
-def gathered(t, step, labels: Labels = SUBSCRIPTION, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, list]:
+def gathered(t, step, labels: Labels = SUBSCRIPTION, hot_rows: int | None = None) -> tuple[DataFrame, list]:
     """``step(events, slice_by)`` on all events, and the hot workspaces found."""
     hot = hot_workspaces(t, hot_rows)
 
@@ -56,12 +56,12 @@ def gathered(t, step, labels: Labels = SUBSCRIPTION, hot_rows: int = HOT_ROWS) -
     return per_workspace(t, hot, on_events), hot
 
 
-def event_log(t, labels: Labels = SUBSCRIPTION, hot_rows: int = HOT_ROWS, keep_plan_of=()) -> DataFrame:
+def event_log(t, labels: Labels = SUBSCRIPTION, hot_rows: int | None = None, keep_plan_of=()) -> DataFrame:
     return gathered(t, lambda rows, cut: events.finish_log(rows, labels, keep_plan_of, cut), labels, hot_rows)[0]
 
 
 def plan_groups(
-    t, labels: Labels = SUBSCRIPTION, hot_rows: int = HOT_ROWS, keep_plan_of=()
+    t, labels: Labels = SUBSCRIPTION, hot_rows: int | None = None, keep_plan_of=()
 ) -> tuple[DataFrame, list]:
     """Events with their plan runs, and the workspaces too big for one task."""
 
@@ -71,7 +71,7 @@ def plan_groups(
     return gathered(t, step, labels, hot_rows)
 
 
-def staged_groups(t, hot_rows: int = HOT_ROWS) -> Groups:
+def staged_groups(t, hot_rows: int | None = None) -> Groups:
     rows, hot = plan_groups(t, SUBSCRIPTION, hot_rows)
     needed = ["workspaceid", "idx", "logtimestamp", "logdatetimestamp", "planid", "group_planid", "group_number", "sourceid"]
     return Groups(stage(rows.select(*needed, *periods.ATTRIBUTES), "plan-groups"), hot)
@@ -83,7 +83,7 @@ def plan_attributes(t, how: str = "left") -> DataFrame:
     )
 
 
-def subscription_periods(t, groups: Groups | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def subscription_periods(t, groups: Groups | None = None, hot_rows: int | None = None) -> DataFrame:
     groups = groups or staged_groups(t, hot_rows)
     return periods.subscription_periods(groups.rows, plan_attributes(t), t.subscription, groups.hot)
 
@@ -101,7 +101,7 @@ def invoice_base(t, leave_out=()) -> DataFrame:
 
 
 def invoice_adjusted(
-    t, as_of: Column, leave_out=(), hot_rows: int = HOT_ROWS, runs: DataFrame | None = None
+    t, as_of: Column, leave_out=(), hot_rows: int | None = None, runs: DataFrame | None = None
 ) -> tuple[DataFrame, list]:
     """Adjusted invoices, and the workspaces with too many rows for one task.
 
@@ -120,7 +120,7 @@ def billing_rawdata(
     as_of: Column,
     leave_out=(),
     keep_unmatched: bool = False,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     runs: DataFrame | None = None,
 ) -> DataFrame:
     adjusted, hot = invoice_adjusted(t, as_of, leave_out, hot_rows, runs)
@@ -150,7 +150,7 @@ def titles_of_templates(t, done: DataFrame | None = None) -> DataFrame:
     return titles.new_templates(t.template, billing.excluded_workspaces(t.test_user, t.member), done)
 
 
-def run(t, folder: str, as_of: Column, contracts: DataFrame, forms: DataFrame, hot_rows: int = HOT_ROWS) -> None:
+def run(t, folder: str, as_of: Column, contracts: DataFrame, forms: DataFrame, hot_rows: int | None = None) -> None:
     """One day's batch: write every result table below ``folder``.
 
     Documents are classified once per table and appended; all other tables are

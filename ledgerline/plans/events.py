@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import epoch_seconds, next_reset_date
-from ledgerline.operators.hot import HOT_ROWS, SLICE, count_rows, heaviest, time_slice
+from ledgerline.operators.hot import SLICE, count_rows, cut_slices, heaviest
 from ledgerline.operators.running import Latest, LatestOfAll, Previous, SumSoFar, TotalOfAll, running
 
 
@@ -108,7 +108,8 @@ def relabel_v2(
     rows = log.join(owner, "subscriptionid").withColumnRenamed("id", "eventid")
     rows = rows.withColumn("logtimestamp", epoch_seconds(F.col("logdatetimestamp")))
     if hot:
-        rows = with_slice(rows, hot)
+        # Events of one second and microsecond stay in one slice, so that redelivered ones meet.
+        rows = cut_slices(rows, "workspaceid", _asc()[:2], "relabel-cut")
     rows = running(
         rows,
         ["workspaceid"],
@@ -151,7 +152,7 @@ def drop_redelivered(events: DataFrame) -> DataFrame:
 
 
 def hot_workspaces(
-    v1: DataFrame, v2: DataFrame, custom: DataFrame, subscription: DataFrame, rows: int = HOT_ROWS
+    v1: DataFrame, v2: DataFrame, custom: DataFrame, subscription: DataFrame, rows: int | None = None
 ) -> list:
     """Workspaces whose raw events, over all logs, exceed what one task should sort."""
     by_subscription = count_rows(v2, "subscriptionid").join(
@@ -165,17 +166,6 @@ def hot_workspaces(
     return heaviest(counts, rows)
 
 
-def together(rows: DataFrame, hot: Sequence = ()) -> DataFrame:
-    """Bring a workspace's events to one task (each time slice of a hot one)."""
-    if not hot:
-        return rows.repartition("workspaceid")
-    return with_slice(rows, hot).repartition("workspaceid", SLICE)
-
-
-def with_slice(rows: DataFrame, hot: Sequence) -> DataFrame:
-    return rows.withColumn(SLICE, time_slice("workspaceid", F.col("logtimestamp"), hot))
-
-
 def index_events(events: DataFrame, slice_by: str | None = None) -> DataFrame:
     """Position from the front and from the back, and the plan announced just before."""
     one = F.lit(1).cast("bigint")
@@ -278,11 +268,14 @@ def gather(
 
     The second log is shuffled by workspace for its relabelling. The others are
     brought to the same partitioning, which the union keeps: from here on no
-    event is shuffled again. With ``hot`` workspaces the result carries their
-    slice column.
+    event is shuffled again. Of ``hot`` workspaces all logs are cut into slices
+    together; the result carries their slice column.
     """
     renamed = drop_redelivered(relabel_v2(v2, subscription, labels, hot))
-    first, own = together(from_v1(v1), hot), together(from_custom(custom), hot)
+    if hot:
+        rows = from_v1(v1).unionByName(renamed.drop(SLICE)).unionByName(from_custom(custom)).distinct()
+        return cut_slices(rows, "workspaceid", _asc(), "events-cut")
+    first, own = from_v1(v1).repartition("workspaceid"), from_custom(custom).repartition("workspaceid")
     return first.unionByName(renamed).unionByName(own).distinct()
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import add_months, day_start
 from ledgerline.functions.identity import surrogate_id
-from ledgerline.operators.hot import SLICE, apart, lookup, time_slice
+from ledgerline.operators.hot import SLICE, apart, cut_slices, lookup
 from ledgerline.operators.running import Latest, Previous, SumSoFar, running
 from ledgerline.plans.events import SUBSCRIPTION, Labels
 
@@ -127,9 +127,7 @@ def with_next_change(starts: DataFrame, groups: DataFrame, hot: Sequence = ()) -
         "workspaceid",
         hot,
         lambda part: _look_ahead(part, None),
-        lambda part: _look_ahead(
-            part.withColumn(SLICE, time_slice("workspaceid", F.col("second"), hot)), SLICE
-        ).drop(SLICE),
+        lambda part: _look_ahead(cut_slices(part, "workspaceid", [F.asc("second")], "cells-cut"), SLICE).drop(SLICE),
     )
 
     def answer(cell: Column) -> Column:

@@ -83,27 +83,30 @@ def classify(
 
     ``dictionary`` has one row per noun (see ``noun_dictionary``); of repeated
     nouns the one with the largest categories counts. At each place of a title
-    the substrings of the lengths that nouns have are looked up; the longest
+    the beginning that all nouns are long enough for is looked up, and only
+    where some noun begins like that, the lengths of such nouns; the longest
     noun at the first place is taken, then the search goes on behind it. With
     ``whole_words`` a noun must not touch letters or digits that continue it.
-    Only hits carry on, by key and place, never the title.
+    Only hits carry on, by key and place, never the title, and the hits of a
+    title are settled in one aggregate.
     """
     titles = titles.where(F.col(key).isNotNull() & (F.col(key) != ""))
     merged = [F.max(c).alias(c) for c in categories]
     nouns = dictionary.where(F.length("noun") > 0).groupBy("noun").agg(*merged)
-    lengths = nouns.agg(F.array_sort(F.collect_set(F.length("noun")))).scalar()
-    firsts = nouns.agg(F.collect_set(F.substring("noun", 1, 1))).scalar()
+    least = nouns.agg(F.min(F.length("noun"))).scalar()
+    heads = nouns.withColumn("head", F.substring("noun", F.lit(1), least)).groupBy("head")
+    heads = heads.agg(F.collect_set(F.length("noun")).alias("lengths"))
     text = clean_title(F.col("title"))
     one = [key, "_text"]  # the key, and a hash of the title in case a key has several
     named = titles.withColumn("_text", F.xxhash64(text))
+    places = (
+        named.select(*one, text.alias("t"), least.alias("least"))
+        .where(F.length("t") >= F.col("least"))
+        .select(*one, "t", "least", F.explode(F.sequence(F.lit(1), F.length("t") - F.col("least") + 1)).alias("at"))
+        .withColumn("head", F.expr("substring(t, at, least)"))
+    )
     pieces = (
-        named.select(*one, text.alias("t"))
-        .where(F.length("t") > 0)
-        .distinct()
-        .withColumn("lengths", lengths)
-        .withColumn("firsts", firsts)
-        .select(*one, "t", "lengths", "firsts", F.explode(F.sequence(F.lit(1), F.length("t"))).alias("at"))
-        .where(F.expr("array_contains(firsts, substring(t, at, 1))"))
+        places.join(heads, "head")
         .select(*one, "t", "at", F.explode("lengths").alias("n"))
         .where(F.col("at") + F.col("n") - 1 <= F.length("t"))
     )
@@ -113,14 +116,11 @@ def classify(
         after = F.expr("substring(t, at + n - 1, 2)")
         pieces = pieces.where(~before.rlike(word) & ~after.rlike(word))
     hits = pieces.select(*one, "at", "n", F.expr("substring(t, at, n)").alias("noun")).join(nouns, "noun")
-    longest = hits.groupBy(*one, "at").agg(F.max_by(F.struct("noun", *categories), "n").alias("hit"), F.max("n").alias("n"))
-    kept = _first_come(longest, one)
-    decided = F.col("hit")[categories[0]].isNotNull()
-    per_title = kept.groupBy(*one).agg(
-        F.array_sort(F.collect_list(F.struct("at", F.col("hit.noun").alias("noun")))).alias("nouns"),
-        F.min_by("hit", F.when(decided, F.col("at"))).alias("_hit"),
-    )
-    found = named.join(per_title.withColumn("nouns", F.col("nouns.noun")), one, "left")
+    each = F.struct("at", (-F.col("n")).alias("less"), "noun", *categories)
+    per_title = hits.groupBy(*one).agg(F.array_sort(F.collect_list(each)).alias("hits")).withColumn("kept", _first_come("hits"))
+    decided = F.filter("kept", lambda hit: hit[categories[0]].isNotNull())
+    per_title = per_title.select(*one, F.col("kept.noun").alias("nouns"), F.get(decided, F.lit(0)).alias("_hit"))
+    found = named.join(per_title, one, "left")
     return found.select(
         *titles.columns,
         F.coalesce("nouns", F.array().cast("array<string>")).alias("nouns"),
@@ -128,27 +128,21 @@ def classify(
     )
 
 
-def _first_come(hits: DataFrame, one: list[str]) -> DataFrame:
-    """Hits that do not overlap an earlier one that was kept.
+def _first_come(hits: str) -> Column:
+    """The longest hit at the first place, then the next one behind its end, and so on.
 
-    A hit that starts behind the end of all before it is always kept, so only
-    runs of overlapping hits, which are short, are settled one by one.
+    Hits are sorted by place and, at one place, from long to short; a hit that
+    occurs twice, as a title does that is stored twice, is taken once.
     """
-    so_far = W.partitionBy(*one).orderBy("at").rowsBetween(W.unboundedPreceding, -1)
-    end = F.col("at") + F.col("n")
-    marked = hits.withColumn("_new", (F.col("at") >= F.coalesce(F.max(end).over(so_far), F.lit(0))).cast("int"))
-    runs = marked.withColumn("_run", F.sum("_new").over(W.partitionBy(*one).orderBy("at")))
-    grouped = runs.groupBy(*one, "_run").agg(F.array_sort(F.collect_list(F.struct("at", "n", "hit"))).alias("hits"))
-    start = F.struct(F.lit(0).alias("free"), F.filter("hits", lambda h: F.lit(False)).alias("kept"))
-    taken = F.aggregate(
-        "hits",
+    start = F.struct(F.lit(0).alias("free"), F.filter(hits, lambda h: F.lit(False)).alias("kept"))
+    return F.aggregate(
+        hits,
         start,
         lambda state, h: F.when(
             h["at"] >= state["free"],
-            F.struct((h["at"] + h["n"]).alias("free"), F.concat(state["kept"], F.array(h)).alias("kept")),
+            F.struct((h["at"] - h["less"]).alias("free"), F.concat(state["kept"], F.array(h)).alias("kept")),
         ).otherwise(state),
     )["kept"]
-    return grouped.select(*one, F.explode(taken).alias("k")).select(*one, "k.at", "k.hit")
 
 
 def contract_categories(titles: DataFrame, dictionary: DataFrame, key: str, whole_words: bool = False) -> DataFrame:

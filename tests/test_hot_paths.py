@@ -111,3 +111,36 @@ def test_signing_order_restarts_in_each_document(t):
     for r in referral.signing_order(staged).collect():
         largest.setdefault(r.documentid, []).append(r.ordinal)
     assert all(max(found) <= len(found) and min(found) == 1 for found in largest.values())
+
+
+def test_a_third_in_one_second_and_a_third_without_a_key(spark):
+    """Slices split one second of one key, and rows without a key; the values stay those of plain windows."""
+    pick = random.Random(3)
+    data = [("a", 7, i, pick.choice([None, 1, 2]), pick.choice([None, "x", "y"])) for i in range(300)]
+    data += [(None, pick.randrange(50), i, 1, pick.choice([None, "z"])) for i in range(300)]
+    data += [(pick.choice("bcdefgh"), pick.randrange(50), i, 2, "w") for i in range(300)]
+    df = spark.createDataFrame(data, "k string, s bigint, i int, n bigint, v string")
+    values = {"prev": Previous(F.col("v")), "last": Latest(F.col("v")), "sofar": SumSoFar(F.col("n")), "total": TotalOfAll(F.col("n"))}
+    order = [F.asc("s"), F.asc("i")]
+    assert set(hot.hot_keys(df, "k")) == {"a", None}
+    cut = hot.cut_slices(hot.only(df, "k", ["a", None]), "k", order, "test-cut")
+    largest = cut.groupBy("k", hot.SLICE).count().agg(F.max("count")).first()[0]
+    assert largest < 300
+    whole = running(df, ["k"], order, values)
+    assert rows(running_measured(df, ["k"], F.col("s"), order, values)) == rows(whole)
+
+
+def test_event_log_with_many_events_without_a_workspace(t):
+    class Changed:
+        def __getattr__(self, name):
+            return getattr(t, name)
+
+    changed = Changed()
+    log = t.subscription_event_log
+    lost = F.pmod(F.xxhash64("id"), F.lit(3)) == 0
+    flood = F.pmod(F.xxhash64("id"), F.lit(3)) == 1
+    changed.subscription_event_log = log.withColumn(
+        "workspaceid", F.when(flood, F.lit("w-flood")).when(~lost, F.col("workspaceid"))
+    ).withColumn("logtimestamp", F.when(flood, F.lit(1_600_000_000).cast("bigint")).otherwise(F.col("logtimestamp")))
+    assert {None, "w-flood"} <= set(daily.hot_workspaces(changed, FEW))
+    assert rows(daily.event_log(changed, hot_rows=FEW)) == rows(daily.event_log(changed, hot_rows=10**9))
