@@ -16,6 +16,7 @@ from ledgerline.operators.hot import SLICE, hot_keys, only, without
 from ledgerline.plans import billing, events, periods, referral, titles
 from ledgerline.plans.events import SUBSCRIPTION, Labels
 from ledgerline.sources.tables import append_new, append_rows, delete_where, replace_table, stage
+from ledgerline.sources.versions import Versions
 
 
 @dataclass(frozen=True)
@@ -165,8 +166,8 @@ def run(t, folder: str, as_of: Column, contracts: DataFrame, forms: DataFrame, h
     participants, found = referral_attribution(t, as_of)
     attributed = delete_where(t.viral_effect_analysis, F.col("id").isNull())
     attributed = stage(attributed.unionByName(found, allowMissingColumns=True), "viral-effect")
-    replace_table(participants, f"{folder}/participant_data")
-    replace_table(attributed, f"{folder}/viral_effect_analysis")
+    replace_table(referral.participants_table(participants), f"{folder}/participant_data")
+    replace_table(referral.attribution_table(attributed), f"{folder}/viral_effect_analysis")
 
     contract = titles_of_documents(t, t.document_category)
     form = titles_of_documents(t, t.document_form_category)
@@ -177,6 +178,19 @@ def run(t, folder: str, as_of: Column, contracts: DataFrame, forms: DataFrame, h
     replace_table(titles.form_categories(templates, forms, "templateid"), f"{folder}/template_form_category")
 
 
+def run_versioned(t, folder: str, version: str, as_of: Column, contracts: DataFrame, forms: DataFrame, hot_rows: int | None = None) -> None:
+    """One day's batch as a version of all result tables together (see ``sources.versions``).
+
+    The version counts once its last table is written; a run that stops before
+    leaves the version before it whole, and can be repeated under its name.
+    Appended tables hold the new rows of the day only; ``Versions.all_rows``
+    reads them over all versions.
+    """
+    versions = Versions(contracts.sparkSession, folder)
+    with versions.writing(version) as path:
+        run(t, path, as_of, contracts, forms, hot_rows)
+
+
 def append_new_rows(rows: DataFrame, path: str) -> None:
     """Append the documents that the table at ``path`` does not hold yet.
 

@@ -6,18 +6,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions.dates import local_time, recent_since
 from ledgerline.functions.identity import contact_kind, mask_contact
 from ledgerline.operators.matching import first_per
 from ledgerline.operators.ordering import cut, positions
-from ledgerline.sources.tables import append_new, delete_matching, scan_entities
+from ledgerline.sources.tables import append_new, conform, delete_matching, scan_entities
 
 # Entity kind, key prefix and roles of participants.
 KIND = "Participant"
 PREFIX = "Participant#"
 ROLES = ("SIGNER", "VIEWER")
 
+# Names of the source and of the stored table that are words of SQL, and ours.
+BORDER = {"to": "due", "from": "viewed", "order": "ordinal"}
+
 TOUCH = [
     "participantid",
     "requester_userid",
@@ -32,9 +36,14 @@ TOUCH = [
 ]
 
 
+def inside(df: DataFrame) -> DataFrame:
+    """A source or stored table under the names used here."""
+    return df.withColumnsRenamed(BORDER)
+
+
 def participants_stage(items: DataFrame, as_of: Column) -> DataFrame:
     """Signers and viewers of documents from the last month's partitions."""
-    rows = scan_entities(items, KIND, recent_since(as_of))
+    rows = inside(scan_entities(items, KIND, recent_since(as_of)))
     return rows.where(F.col("type").isin(*ROLES) & F.col("documentid").isNotNull()).select(
         "documentid",
         F.split_part("entity", F.lit(PREFIX), F.lit(2)).alias("participantid"),
@@ -87,6 +96,50 @@ STORED = [
 ]
 
 
+_S, _B, _TS = T.StringType(), T.LongType(), T.TimestampNTZType()
+_KINDS = {"order": _B, "signingduration": _B, "to": _TS, "from": _TS, "createdat": _TS}
+_OUTSIDE = {ours: theirs for theirs, ours in BORDER.items()}
+
+# Columns of the stored tables.
+PARTICIPANT_SCHEMA = T.StructType(
+    [T.StructField(name, _KINDS.get(name, _S)) for name in (_OUTSIDE.get(c, c) for c in STORED)]
+)
+USER = [
+    "id",
+    "idprovidertype",
+    "profileemail",
+    "profilename",
+    "profilesurveybusinessregistrationnumber",
+    "profilesurveycity",
+    "profilesurveycompanycategory",
+    "profilesurveycompanyid",
+    "profilesurveycompanyname",
+    "profilesurveycompanyscale",
+    "profilesurveydepartment",
+    "profilesurveyexpectedstarttime",
+    "profilesurveyexpectedusage",
+    "profilesurveyfunnel",
+    "profilesurveyphonenumber",
+    "profilesurveysearchword",
+    "profilesurveyusertype",
+    "activatedat",
+    "createdat",
+    "updatedat",
+]
+_TIMES = {"signingat", "documentcreatedat", "activatedat", "createdat", "updatedat"}
+ATTRIBUTION_SCHEMA = T.StructType([T.StructField(name, _TS if name in _TIMES else _S) for name in [*TOUCH, *USER]])
+
+
+def participants_table(rows: DataFrame) -> DataFrame:
+    """Participants as the stored table has them."""
+    return conform(rows.withColumnsRenamed(_OUTSIDE), PARTICIPANT_SCHEMA)
+
+
+def attribution_table(rows: DataFrame) -> DataFrame:
+    """Attributed users as the stored table has them; columns that are not known yet are NULL."""
+    return conform(rows, ATTRIBUTION_SCHEMA)
+
+
 def new_participants(staged: DataFrame, stored: DataFrame) -> DataFrame:
     """Staged participants not stored yet, in order and with masked contacts."""
     fresh = append_new(staged, stored, "participantid")
@@ -97,7 +150,7 @@ def new_participants(staged: DataFrame, stored: DataFrame) -> DataFrame:
 
 def participants_delete(stored: DataFrame, staged: DataFrame) -> DataFrame:
     """Stored participants left after dropping those of documents that changed."""
-    return delete_matching(stored, staged, ["documentid"], "participantid")
+    return delete_matching(inside(stored), staged, ["documentid"], "participantid")
 
 
 def participants_refresh(stored: DataFrame, staged: DataFrame) -> DataFrame:
@@ -116,7 +169,7 @@ def first_touch(participants: DataFrame, documents: DataFrame, require_viewed: b
         F.col("createdat").alias("documentcreatedat"),
         "currentsigningorder",
     )
-    seen = participants.select(
+    seen = inside(participants).select(
         "participantid", "documentid", "contact", "contactinfo", "signingmethod", F.col("viewed").alias("signingat"), "ordinal"
     )
     if require_viewed:
