@@ -38,9 +38,13 @@ def load_dimension(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     return lower_names(spark.read.csv(path, header=True, inferSchema=False, sep=sep))
 
 
-def load_category_map(spark: SparkSession, path: str, value: str = "category1") -> DataFrame:
-    """A JSON object of noun to category as rows (noun, ``value``)."""
-    text = spark.read.text(path, wholetext=True)
+def load_category_map(spark: SparkSession, path: str, value: str = "category1", per_line: bool = False) -> DataFrame:
+    """JSON objects of noun to category as rows (noun, ``value``): one per file, or one per line.
+
+    A file of one object is one row while it is read, so large maps are better
+    kept as lines, which any number of tasks can read.
+    """
+    text = spark.read.text(path, wholetext=not per_line)
     pairs = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
     return text.select(F.explode(pairs).alias("noun", value))
 

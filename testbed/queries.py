@@ -905,11 +905,10 @@ def _part_words(t):
 
 @check("SELECT split_part(p_name, ' ', 1) AS noun, max(p_brand) AS category1 FROM part GROUP BY split_part(p_name, ' ', 1)")
 def category_map(t):
-    """A category map of the words of part names, written as one JSON object and loaded."""
+    """A category map of the words of part names, written as JSON lines of one noun each and loaded."""
     path = tables.stage_path(t.spark, "category-map")
-    entries = F.map_from_entries(F.collect_list(F.struct("noun", "brand")))
-    _part_words(t).agg(F.to_json(entries).alias("value")).write.text(path)
-    return tables.load_category_map(t.spark, path)
+    _part_words(t).select(F.to_json(F.create_map("noun", "brand")).alias("value")).write.text(path)
+    return tables.load_category_map(t.spark, path, per_line=True)
 
 
 @check("SELECT DISTINCT split_part(p_name, ' ', 1) AS noun FROM part")

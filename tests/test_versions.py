@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from ledgerline.plans import daily, referral
-from ledgerline.sources.tables import replace_table
+from ledgerline.sources.tables import load_category_map, replace_table
 from ledgerline.sources.versions import Versions
 from testbed.adapters import AS_OF
 from testbed.oracle import BATCH
@@ -73,3 +73,11 @@ def test_names_at_the_border(t):
     one, other = (referral.participants_refresh(s, staged) for s in (stored, t.participant_data))
     assert rows(one) == rows(other)
     assert rows(referral.first_touch(stored, t.document_creation)) == rows(referral.first_touch(t.participant_data, t.document_creation))
+
+
+def test_category_map_as_one_object_and_as_lines(spark, tmp_path):
+    (tmp_path / "one.json").write_text('{"rent": "Estate",\n "loan": "Finance"}', encoding="utf-8")
+    (tmp_path / "lines.json").write_text('{"rent": "Estate"}\n{"loan": "Finance"}\n', encoding="utf-8")
+    one = load_category_map(spark, str(tmp_path / "one.json"))
+    lines = load_category_map(spark, str(tmp_path / "lines.json"), per_line=True)
+    assert rows(one) == rows(lines) == [("Estate", "rent"), ("Finance", "loan")]
