@@ -22,4 +22,4 @@ def test_query(spark, name):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {name.split("_")[0] + "_" for name in QUERIES}
