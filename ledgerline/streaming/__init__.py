@@ -1,6 +1 @@
-"""No streaming job exists: the work is a daily batch.
-
-The incremental steps (participant refresh, referral attribution, title
-classification) only read "new since stored" rows, so each can be called as is
-from ``foreachBatch``.
-"""
+"""Structured Streaming runs of the incremental steps."""
