@@ -338,24 +338,28 @@ def _calendar_order() -> list[Column]:
 
 
 def _calendar(rows: DataFrame, slice_by: str | None = None) -> DataFrame:
-    order = _calendar_order()
-    rows = running(rows, ["_ws"], order, {"prev_datevalue": Previous(F.col("datevalue"))}, slice_by)
+    """Units are nested, so the windows over them and the one over the workspace share one shuffle and one sort.
+
+    Rows without a date come last in it, as in ``_calendar_order``.
+    """
     start = F.col("subscription_initial_start_point").cast("int")
-    for unit, begin in CALENDAR.items():
-        rows = rows.withColumn("_unit", begin(F.col("datevalue")))
-        rows = running(
-            rows,
-            ["_ws", "_unit"],
-            order,
-            {"_start": TotalOfAll(start, "max"), "_rows": TotalOfAll(F.lit(1).cast("bigint"))},
-            slice_by,
-        )
+    last = F.lit("9999-12-31").cast("timestamp_ntz")
+    rows = rows.withColumns(
+        {f"_{unit}": F.coalesce(begin(F.col("datevalue")), last) for unit, begin in CALENDAR.items()}
+    )
+    nested = [f"_{unit}" for unit in CALENDAR]
+    order = [F.asc(name) for name in nested] + _calendar_order()
+    # The shortest key comes first: what is shuffled by it need not be shuffled by longer ones.
+    rows = running(rows, ["_ws"], order, {"prev_datevalue": Previous(F.col("datevalue"))}, slice_by)
+    totals = {"_start": TotalOfAll(start, "max"), "_rows": TotalOfAll(F.lit(1).cast("bigint"))}
+    for depth, unit in enumerate(CALENDAR, 1):
+        rows = running(rows, ["_ws", *nested[:depth]], order[depth:], totals, slice_by)
         rows = (
             rows.withColumn(f"new_yn_{unit}", F.col("_start") == 1)
             .withColumn(f"workspace_all_count_{unit}", F.lit(1.0) / F.col("_rows"))
-            .drop("_start", "_rows", "_unit")
+            .drop("_start", "_rows")
         )
-    return rows
+    return rows.drop(*nested)
 
 
 def billing_matched(calendar: DataFrame, history: DataFrame, keep_unmatched: bool = False) -> DataFrame:
