@@ -29,16 +29,13 @@ RATE = 0.3
 DECAY = 1e-4
 LEAST_PAGES = 4  # training pages a feature must occur on
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|textarea|iframe)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
-    r"|<title(?=[\s/>])[^>]*>(?:(?:(?!</title|</head|<body).)*+(?:</title\s*>|(?=</head|<body))|[^<]*)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
-    r"|<[!?/][^>]*>"
-    r"|[^<]+|<",
-    re.S | re.I,
-)
+_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.S)
+_RAW = re.compile(r"<(script|style|textarea|iframe)(?=[\s/>])", re.I)
+_TITLE = re.compile(r"<title(?=[\s/>])", re.I)
+_TITLE_END = re.compile(r"</title\s*>|</title|(?=</head|<body)", re.I)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_UNQUOTED = re.compile(r"[^>\"']*")
+_TEXT = re.compile(r"[^<]+")
 _NAMES = re.compile(r"\b(class|id|role|hidden|aria-hidden|data-label)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
@@ -66,6 +63,88 @@ GUESTS = frozenset("foreignobject desc title".split())
 SECTIONS = frozenset("article main nav header footer aside form section figure table blockquote ul ol pre".split())
 
 
+class Scanner:
+    """The tokens of a page, read once from left to right.
+
+    What a search found, or that it found nothing, is kept for later tags, so
+    that tags, quotes and titles that never close cost no more than others.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self._ahead: dict[object, tuple[int, int, re.Match | None]] = {}
+        self._lost: set[int] = set()  # places outside quotes from which no tag ends
+
+    def _next(self, pattern: re.Pattern, at: int) -> re.Match | None:
+        """The first match from ``at`` on; a match found from an earlier place is taken again while it lies ahead."""
+        since, start, hit = self._ahead.get(pattern, (len(self.page) + 1, 0, None))
+        if not (since <= at and (hit is None or at <= start)):
+            hit = pattern.search(self.page, at)
+            self._ahead[pattern] = (at, hit.start() if hit else 0, hit)
+        return hit
+
+    def _find(self, mark: str, at: int) -> int:
+        since, start, _ = self._ahead.get(mark, (len(self.page) + 1, 0, None))
+        if not (since <= at and (start < 0 or at <= start)):
+            start = self.page.find(mark, at)
+            self._ahead[mark] = (at, start, None)
+        return start
+
+    def tag_end(self, at: int) -> int:
+        """Place of the bracket that ends a tag; one in quotes does so only if no other does, -1 if there is none."""
+        page, place, passed = self.page, at, []
+        while True:
+            place = _UNQUOTED.match(page, place).end()
+            if page[place : place + 1] == ">":
+                return place
+            close = self._find(page[place], place + 1) if place < len(page) else -1
+            if close < 0 or close + 1 in self._lost:
+                self._lost.update(passed)
+                return self._find(">", at)
+            place = close + 1
+            passed.append(place)
+
+    def tokens(self) -> Iterator[tuple[str, int, str, str, str]]:
+        """Kind ("text", "field", "skip", "open" or "close"), end, text, name and attributes."""
+        page, at = self.page, 0
+        while at < len(page):
+            if page[at] != "<":
+                end = _TEXT.match(page, at).end()
+                yield "text", end, page[at:end], "", ""
+                at = end
+                continue
+            if page.startswith("<!--", at):
+                at = _COMMENT.match(page, at).end()
+                continue
+            bracket = self._find(">", at)
+            if bracket < 0:  # no tag is whole from here on
+                yield "text", at + 1, "<", "", ""
+                at += 1
+            elif hit := _RAW.match(page, at):
+                ends = _RAW_ENDS[hit[1].lower()].search(page, bracket + 1)
+                at = ends.end() if ends else len(page)
+                yield ("skip" if hit[1].lower() in ("script", "style") else "field"), at, "", "", ""
+            elif _TITLE.match(page, at):
+                ends = self._next(_TITLE_END, bracket + 1)
+                whole = ends is not None and ends[0].lower() != "</title"
+                at = ends.end() if whole else self._find("<", bracket + 1)
+                at = len(page) if at < 0 else at
+            elif hit := _TAG.match(page, at):
+                end = self.tag_end(hit.end())
+                yield ("close" if hit[1] else "open"), end + 1, "", hit[2].lower(), page[hit.end() : end]
+                at = end + 1
+            elif page[at + 1 : at + 2] in ("!", "?", "/"):
+                at = bracket + 1
+            else:
+                yield "text", at + 1, "<", "", ""
+                at += 1
+
+
+_RAW_ENDS = {
+    name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in ("script", "style", "textarea", "iframe")
+}
+
+
 class Block:
     __slots__ = ("path", "text", "linked", "label")
 
@@ -133,25 +212,20 @@ def blocks(page: str) -> list[Block]:
             if stack[i][0] in scopes:
                 return
 
-    for token in _TOKEN.finditer(page):
-        raw, slash, tag, attributes, slash2, tag2, attributes2 = token.groups()
-        if tag is None and tag2 is not None:
-            slash, tag, attributes = slash2, tag2, attributes2
-        if tag is None:
-            text = token[0]
-            if raw is not None:
-                if raw.lower() not in ("script", "style") and not unseen:
-                    finish()
-            elif (text[0] != "<" or text == "<") and not unseen:
-                parts.append(text)
-                if inside_link:
-                    linked.append(text)
+    for kind, end, text, tag, attributes in Scanner(page).tokens():
+        if kind == "field" and not unseen:
+            finish()
+        elif kind == "text" and not unseen:
+            parts.append(text)
+            if inside_link:
+                linked.append(text)
+        if not tag:
             continue
-        tag = tag.lower()
+        slash = "/" if kind == "close" else ""
         if unseen and still_unseen(slash, tag, attributes) or tag == "head":
             continue
         if tag in UNSEEN:
-            if not slash and not attributes.endswith("/") and closed(tag, token.end()):
+            if not slash and not attributes.endswith("/") and closed(tag, end):
                 unseen.append(tag)
             if tag == "select":
                 finish()

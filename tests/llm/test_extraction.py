@@ -1,5 +1,6 @@
 import itertools
 import math
+import time
 
 import numpy as np
 import pytest
@@ -137,3 +138,22 @@ def test_query(spark):
         assert r.n_chars == len(r.text) and r.text == field.text(given[r.page_id])
         if given[r.page_id]:
             assert "Subscribe" not in r.text and "<" not in r.text.replace("&lt;", "")
+
+
+@pytest.mark.parametrize("bit", ["<x ", '<a href="', '<a ">" ', "<title>", "<title></title x", "<script></script ", "<p \"'", "<a"])
+@pytest.mark.parametrize("tail", ["", ">", '">'])
+def test_tags_that_never_close_take_linear_time(bit, tail):
+    start = time.perf_counter()
+    extraction.blocks(bit * (1_000_000 // len(bit)) + tail)
+    assert time.perf_counter() - start < 30
+
+
+def test_ends_of_odd_tags():
+    def texts(page):
+        return [block.text for block in extraction.blocks(page)]
+
+    assert texts('<p title="a > b">one</p>two') == ["one", "two"]
+    assert texts('<p title="a>one</p>two') == ["one", "two"]
+    assert texts("<p>one <b two") == ["one <b two"]
+    assert texts("<p>one</p><script>x</script y") == ["one"]
+    assert texts("<title>a</title x><p>one") == ["one"]
