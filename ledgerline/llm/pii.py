@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2100, 1, 1).toordinal() - FIRST_DAY
+LONGEST_LOCAL = 64  # characters before the @ of a mail address, by the mail standard
 
 
 def _draw(key: bytes, kind: str, turn: int, value: int) -> int:
@@ -121,7 +122,7 @@ def phone(shown: str, key: bytes, back: bool = False) -> str | None:
     """7 to 15 digits; a country code after a plus sign stays.
 
     The code is told by the digits alone, and only where no country has it by
-    the separator behind it.
+    the separator behind it. Ten digits without one are those of country 1.
     """
     digits = _digits(shown)
     if not 7 <= len(digits) <= 15:
@@ -129,7 +130,8 @@ def phone(shown: str, key: bytes, back: bool = False) -> str | None:
     code = (_COUNTRY.match(digits) or re.match(r"\+(\d{1,3})(?=\D)", shown)) if shown[0] == "+" else None
     kept = len(code[code.lastindex or 0]) if code else 0
     n = len(digits) - kept
-    moved = permute(int(digits[kept:]), 10**n, key, f"phone{digits[:kept]}:{n}", back)
+    country = digits[:kept] or ("1" if n == 10 else "")  # three, three and four digits are written so in country 1
+    moved = permute(int(digits[kept:]), 10**n, key, f"phone{country}:{n}", back)
     return _refill(shown, digits[:kept] + f"{moved:0{n}d}")
 
 
@@ -171,9 +173,12 @@ def mail(shown: str, key: bytes, back: bool = False) -> str | None:
     """An e-mail address: letters and digits of the local part move within their kinds, the domain stays.
 
     Upper and lower case stay at their places and make no difference otherwise.
+    Local parts longer than mail allows move in pieces of that length.
     """
     local, _, domain = shown.partition("@")
-    return _by_kind(local, key, "mail", back) + "@" + domain
+    pieces = [local[i : i + LONGEST_LOCAL] for i in range(0, len(local), LONGEST_LOCAL)]
+    moved = [_by_kind(piece, key, f"mail{i}-" if i else "mail", back) for i, piece in enumerate(pieces)]
+    return "".join(moved) + "@" + domain
 
 
 def secret(shown: str, key: bytes, back: bool = False) -> str | None:
@@ -203,7 +208,7 @@ def _by_kind(text: str, key: bytes, kind: str, back: bool) -> str:
 
 #: In order: a part of a text belongs to the first kind that finds and validates it.
 KINDS = {
-    "mail": (r"[A-Za-z0-9][A-Za-z0-9._%+\-]*@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+", mail),
+    "mail": (r"@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+", mail),  # and what stands before the @, see `_local`
     "account": (r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", account),
     "secret": (r"\b[0-9a-fA-F]{32,}\b", secret),
     "card": (r"(?<![\w.])\d(?:[ \-]?\d){12,18}(?![\w]|\.\d)", card),
@@ -239,6 +244,19 @@ _PATTERNS = {kind: (re.compile(pattern, re.ASCII), replace) for kind, (pattern,
 _DIGIT = re.compile(r"[0-9]")
 
 
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+
+
+def _local(text: str, at: int, least: int) -> int | None:
+    """Where the local part before the @ at ``at`` starts, not before ``least``; it starts with a letter or digit."""
+    start = at
+    while start > least and text[start - 1] in _LOCAL:
+        start -= 1
+    while start < at and text[start] in "._%+-":
+        start += 1
+    return start if start < at else None
+
+
 def _shorter(kind: str, shown: str) -> Iterator[int]:
     """Lengths at which the value at the start of a hit of a kind may end, in the order to try them.
 
@@ -280,8 +298,14 @@ def pseudonymised(text: str | None, key: bytes, back: bool = False) -> tuple[str
         at = 0
         while hit := pattern.search(text, at):
             start = hit.start()
-            at = start + 1
-            for length in _shorter(kind, hit[0]):
+            if kind == "mail":
+                start, at = _local(text, start, at), start + 1
+                if start is None:
+                    continue
+                whole = text[start : hit.end()]
+            else:
+                at, whole = start + 1, hit[0]
+            for length in _shorter(kind, whole):
                 end = start + length
                 if any(taken[start:end]):
                     continue

@@ -1,5 +1,6 @@
 import datetime
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,3 +139,21 @@ def test_edges(spark):
     out = sorted((str(r.doc_id), r.text is None, r.n_found) for r in pii.pseudonyms(df, KEY).collect())
     assert out == [("1", True, 0), ("2", False, 0), ("3", False, 1), ("3", False, 1), ("3", False, 1), ("None", False, 1)]
     assert pii.pseudonyms(df.limit(0), KEY).count() == 0
+
+
+def test_phone_styles_of_one_number_are_linked():
+    shown = ["(743) 555-3824", "743-555-3824", "+1 743 555 3824", "+17435553824"]
+    new = [pii.pseudonymised(f"at {v}", KEY)[0].removeprefix("at ") for v in shown]
+    digits = {"".join(c for c in v if c.isdigit())[-10:] for v in new}
+    assert len(digits) == 1 and digits != {"7435553824"}
+    assert [pii.pseudonymised(f"at {v}", KEY, True)[0] for v in new] == [f"at {v}" for v in shown]
+
+
+def test_letters_beside_an_at_sign_take_linear_time():
+    start = time.perf_counter()
+    text = "a" * 1_000_000 + " @ " + "b" * 1_000_000 + "@x.org _john@x.org a@b.com@c.org"
+    new, found = pii.pseudonymised(text, KEY)
+    assert time.perf_counter() - start < 30
+    assert [text[s:e] for _, s, e in found][1:] == ["john@x.org", "a@b.com"]
+    assert found[0][2] - found[0][1] == 1_000_006
+    assert pii.pseudonymised(new, KEY, True)[0] == text
