@@ -268,10 +268,10 @@ def write_archives(
             roller.close()
             yield _manifest_batch(roller.done)
 
-    parts = max(1, len(shards))
+    parts = max(shards, default=0) + 1  # numbers are left out only behind a page larger than a shard
     files, top = arrow_fs.FileSystem.from_uri(folder)
     files.create_dir(f"{top}/_temporary", recursive=True)
-    sorted_lines = lines.repartition(parts, "shard").sortWithinPartitions("shard", "page_id", "digest", "kind", "tie")
+    sorted_lines = lines.repartitionById(parts, F.col("shard")).sortWithinPartitions("shard", "page_id", "digest", "kind", "tie")
     made = stage(sorted_lines.mapInArrow(write, MANIFEST), "warc-manifest")
 
     def commit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
