@@ -186,19 +186,25 @@ class Model:
         self.features, self.trees, self.levels, self.constant = features, trees, levels, constant
 
     def scored(self, docs: DataFrame) -> DataFrame:
-        """`docs` with `score`; an empty or missing text has all features zero and a score like any other."""
+        """`docs` with `score`, which replaces a column of that name; other columns may have any name.
+
+        An empty or missing text has all features zero and a score like any
+        other. Equal texts have equal scores, so repeated rows do, too. An empty
+        table gives an empty result.
+        """
+        others = [name for name in docs.columns if name.lower() != "score"]
         if self.trees is None:
-            return docs.withColumn("score", F.lit(self.constant))
-        names = docs.columns
-        vectors = docs.withColumn("_features", array_to_vector(self.features.of(F.col("text"))))
-        raw = _raw(self.trees, vectors)
+            return docs.select(*[F.col(f"`{name}`") for name in others], F.lit(self.constant).alias("score"))
+        # the caller's columns stay apart from those that the trees and levels add
+        row = F.struct(*[F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(others)]).alias("_row")
+        raw = _raw(self.trees, docs.select(row, array_to_vector(self.features.of(F.col("text"))).alias("_features")))
         if self.levels is None:
-            return raw.withColumn("score", F.col("_raw")).select(*names, "score")
-        # within a level the order of the trees is kept by a thousandth
-        score = 0.999 * F.col("_level") + 0.001 * F.col("_raw")
-        return self.levels.transform(raw).withColumn("score", F.least(F.lit(1.0), F.greatest(F.lit(0.0), score))).select(
-            *[F.col(f"`{name}`") for name in names], "score"
-        )
+            found, score = raw, F.col("_raw")
+        else:
+            # within a level the order of the trees is kept by a thousandth
+            found, score = self.levels.transform(raw), 0.999 * F.col("_level") + 0.001 * F.col("_raw")
+            score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), score))
+        return found.select(*[F.col(f"_row.c{i}").alias(name) for i, name in enumerate(others)], score.alias("score"))
 
 
 def _raw(trees: GBTClassificationModel, vectors: DataFrame) -> DataFrame:

@@ -94,6 +94,16 @@ def test_toxicity_edges(spark):
     assert min(bad) > max(good)
     assert {r.score for r in toxicity.fit(docs, labels.limit(0)).scored(docs).collect()} == {0.5}
     assert model.scored(docs.limit(0)).count() == 0
+    clashing = ["_features", "_raw", "_level", "_chance", "_margin", "_class", "_row", "Score", "a.b"]
+    wide = docs.select("*", *[F.lit(name).alias(name) for name in clashing])
+    for one in (model, toxicity.fit(docs, labels.limit(0))):
+        made = one.scored(wide)
+        assert made.columns == [*docs.columns, *[name for name in clashing if name != "Score"], "score"]
+        assert {tuple(r[name] for name in clashing if name != "Score") for r in made.collect()} == {
+            tuple(name for name in clashing if name != "Score")
+        }
+    scores = {(r.doc_id, r.text): r.score for r in got}
+    assert {(r.doc_id, r.text): r.score for r in model.scored(wide).collect()} == scores
 
 
 def test_toxic_features():
