@@ -14,6 +14,13 @@ def epoch_seconds(ts: Column) -> Column:
     return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
+def epoch_micros(ts: Column) -> Column:
+    """Microseconds since 1970 of the wall-clock time."""
+    days = F.date_diff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    minutes = days * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    return minutes * 60_000_000 + (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
+
+
 def day_start(ts: Column) -> Column:
     return ts.cast("date").cast(NTZ)
 

@@ -90,6 +90,28 @@ class SumSoFar:
         return merged
 
 
+@dataclass(frozen=True)
+class LargestSoFar:
+    """Largest value up to and including the current row; NULL counts as nothing."""
+
+    value: Column
+
+    def within(self, w: WindowSpec) -> Column:
+        return F.max(self.value).over(w.rowsBetween(UNBOUNDED, 0))
+
+    def of_slice(self, at: Column) -> Column:
+        return F.max(self.value)
+
+    def before_slice(self, w: WindowSpec, part: Column) -> Column:
+        return F.max(part).over(w.rowsBetween(UNBOUNDED, -1))
+
+    def merge(self, within: Column, before: Column) -> Column:
+        return F.greatest(within, before)
+
+    def finish(self, merged: Column) -> Column:
+        return merged
+
+
 @dataclass(frozen=True)
 class LatestOfAll:
     """Last non-NULL value of the whole key, on each of its rows."""
