@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,6 +115,23 @@ def _keyed(docs: DataFrame, members: Column, seed: int) -> DataFrame:
     )
 
 
+_PLAN = pa.schema(
+    [
+        ("members", pa.list_(pa.string())),
+        ("_rank", pa.int32()),
+        ("_start", pa.int64()),
+        ("_whole", pa.int64()),
+        ("_rest", pa.int64()),
+        ("source_size", pa.int64()),
+        ("target", pa.float64()),
+    ]
+)
+
+
+def _table(plan: list[tuple]) -> pa.Table:
+    return pa.Table.from_pylist([dict(zip(_PLAN.names, row, strict=True)) for row in plan], schema=_PLAN)
+
+
 def mix(
     docs: DataFrame,
     members: Column,
@@ -165,10 +183,8 @@ def mix(
         first = pattern[0] if pattern else None
         plan.append((list(pattern), rank, passed, whole, rest, sizes.get(first), wanted.get(first)))
         passed += words
-    schema = (
-        "members array<string>, _rank int, _start long, _whole long, _rest long, source_size long, target double"
-    )
-    lookup = F.broadcast(slim.sparkSession.createDataFrame(plan, schema))  # at most MAX_PATTERNS rows
+    # at most MAX_PATTERNS rows; as an Arrow table they start no Python workers on the executors
+    lookup = F.broadcast(slim.sparkSession.createDataFrame(_table(plan)))
 
     order = ["_rank", "draw", "doc_id", "_tie"]
     ranked = slim.join(lookup.select("members", "_rank"), "members").drop("members")

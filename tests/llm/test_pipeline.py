@@ -2,11 +2,12 @@
 
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerline.llm import mixing, quality, queries, sharding
+from ledgerline.llm import common, mixing, quality, queries, sharding
 from test_decontamination import brute as brute_matches
 from test_jaccard import brute as brute_groups
 
@@ -90,3 +91,34 @@ def test_run_and_empty_tables(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(0)
     for _, function in corpus_pipeline.STAGES:
         assert function(spark, docs, DATA).count() == 0
+
+
+def largest_batch(spark, rows):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    texts = spark.range(rows, numPartitions=1).select(F.repeat(F.lit("x"), 4_000).alias("text"))
+    return texts.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0]
+
+
+@pytest.mark.parametrize("name", ["quality", "near copies", "benchmark"])
+def test_texts_go_to_python_in_batches_by_bytes(spark, name):
+    own = spark.newSession()
+    docs = own.read.parquet(f"{DATA}/documents.parquet").limit(20)
+    dict(corpus_pipeline.STAGES)[name](own, docs, DATA)
+    assert largest_batch(own, 2_000) < 1.5 * common.BATCH_BYTES
+
+
+def test_batches_of_a_session_that_bounds_them(spark):
+    own = spark.newSession()
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4000000")
+    common.bound_batches(own)
+    assert own.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "4000000"
+
+
+def test_the_mix_starts_no_python_workers(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    mixed = mixing.mix(docs, F.array(mixing.source_key(F.col("source"))))
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and "LocalTableScan" in plan
