@@ -17,7 +17,8 @@ together, and so in at most that many coordinates.
    in linear work.
 4. Where a page still holds several components, its points are packed into an
    R-tree by size; node and point pairs are kept by summed minima of box tops
-   and points, and only between different components. Of the pairs that the
+   and points, and only between different components. Most pages are no larger
+   than a leaf; their pairs are bounded many pages at once. Of the pairs that the
    bound leaves in a page, a round takes only as many as join its components
    (a spanning forest), so its pairs grow with the rows and not their square.
 5. The pairs of a round are verified on the shingle sets of the whole texts.
@@ -48,6 +49,7 @@ PERCENT = 80  # the bounds below are written for this similarity
 SINGLE = 64  # classes below this size are filed by single coordinates
 FILL = 0.375  # blocks per shingle of the largest class of a size band
 LEAF = 32  # points of an R-tree leaf
+STEP = 1 << 20  # counts of the points that are unpacked or compared in one step, about
 FIRST = 2  # centres that each class is compared with first
 FILTER_BITS = 24  # of the table that tells which texts may be wanted: 2 MB
 PAGE = 2_048  # points of a page that meet in one task, at most
@@ -353,18 +355,122 @@ def _kept_pairs(batches: Iterator[pa.RecordBatch], forests: int) -> Iterator[pa.
         for name in ("page", "one", "two"):
             new[1:] |= rows[name][1:] != rows[name][:-1]
         borders = np.concatenate([[0], np.flatnonzero(new)])
-        for start, end in zip(borders[:-1], borders[1:], strict=True):
-            yield from _pairs_of({name: values[start:end] for name, values in rows.items()}, forests)
+        yield from _groups_pairs(rows, borders, forests)
         held = {name: values[borders[-1] :] for name, values in rows.items()}  # its group may go on
     if held is not None:
-        yield from _pairs_of(held, forests)
+        yield from _groups_pairs(held, np.array([0, len(held["page"])]), forests)
+
+
+def _groups_pairs(rows: dict[str, np.ndarray], borders: np.ndarray, forests: int) -> Iterator[pa.RecordBatch]:
+    """The pairs of the groups between the borders. Groups of a leaf or less, most of them, are taken many at once."""
+    rows = rows | {"bits": np.array([_width_bits(data) for data in rows["point"]], dtype=np.int64)}
+    starts, lengths = borders[:-1], np.diff(borders)
+    for start, length in zip(starts[lengths > LEAF], lengths[lengths > LEAF], strict=True):
+        yield from _pairs_of({name: values[start : start + length] for name, values in rows.items()}, forests)
+    starts, lengths = starts[lengths <= LEAF], lengths[lengths <= LEAF]
+    step = np.cumsum(np.append(0, 1 << rows["bits"]))[starts] // STEP
+    for part in np.unique(step):
+        yield from _small_pairs(rows, starts[step == part], lengths[step == part], forests)
+
+
+def _small_pairs(
+    rows: dict[str, np.ndarray], starts: np.ndarray, lengths: np.ndarray, forests: int
+) -> Iterator[pa.RecordBatch]:
+    """What `_pairs_of` yields for groups of a few rows, for many of them: all pairs of a group meet the bound."""
+    root, n, cls, side = rows["root"], rows["n"], rows["cls"], rows["slice"]
+    one, other, group = [], [], []
+    for length in np.unique(lengths):
+        at = np.flatnonzero(lengths == length)
+        i, j = np.triu_indices(length, 1)
+        one.append((starts[at, None] + i).ravel())
+        other.append((starts[at, None] + j).ravel())
+        group.append(np.repeat(at, len(i)))
+    if not one:
+        return
+    one, other, group = np.concatenate(one), np.concatenate(other), np.concatenate(group)
+    open_ = (root[one] != root[other]) & (100 * np.minimum(n[one], n[other]) >= PERCENT * np.maximum(n[one], n[other]))
+    open_ &= (rows["one"][one] == rows["two"][one]) | (side[one] != side[other])
+    one, other, group = one[open_], other[open_], group[open_]
+    both = overlaps(rows["point"], rows["bits"], one, other)
+    near = 9 * both >= 4 * (n[one] + n[other])
+    one, other, group, both = one[near], other[near], group[near], both[near]
+    known = {int(x): rows["refused"][x] for x in np.unique([one, other]) if rows["refused"][x] is not None}
+    if known:
+        known = {x: set(names.tolist()) for x, names in known.items()}
+        new = [
+            cls[y] not in known.get(x, ()) and cls[x] not in known.get(y, ())
+            for x, y in zip(one.tolist(), other.tolist(), strict=True)
+        ]
+        one, other, group, both = one[new], other[new], group[new], both[new]
+    if not len(one):
+        return
+    order = np.lexsort((-both / (n[one] + n[other]), group))  # the likeliest of a group first
+    one, other, group = one[order], other[order], group[order]
+    ends = np.flatnonzero(np.append(group[1:] != group[:-1], True)) + 1
+    taken, left = np.ones(len(one), dtype=bool), []
+    for start, end in zip(np.append(0, ends[:-1]), ends, strict=True):
+        if end - start > 1:
+            taken[start:end] = in_forests(root[one[start:end]].tolist(), root[other[start:end]].tolist(), forests)
+            if not taken[start:end].all():
+                left.append(rows["page"][one[start]])
+    yield _taken(np.stack([cls[one[taken]], cls[other[taken]]], 1), left)
+
+
+def overlaps(points: np.ndarray, bits_of: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """The summed minima of the (packed) points of each pair of places, over as many groups as both have."""
+    fewer = np.minimum(bits_of[one], bits_of[other])
+    out = np.empty(len(one), dtype=np.int64)
+    for bits in np.unique(fewer):
+        pairs = np.flatnonzero(fewer == bits)
+        used, place = np.unique([one[pairs], other[pairs]], return_inverse=True)
+        counts = _folded(points[used], int(bits))
+        first, second = place.reshape(2, -1)
+        step = max(1, STEP >> bits)
+        for i in range(0, len(pairs), step):
+            least = np.minimum(counts[first[i : i + step]], counts[second[i : i + step]])
+            out[pairs[i : i + step]] = least.sum(1, dtype=np.int64)
+    return out
+
+
+def _folded(points: np.ndarray, bits: int) -> np.ndarray:
+    """The packed points as rows over 1 << `bits` groups."""
+    rows = np.empty((len(points), 1 << bits), dtype=np.int32)
+    forms = np.array([data[0] << 32 | len(data) for data in points], dtype=np.int64)
+    for form in np.unique(forms):
+        same = np.flatnonzero(forms == form)
+        data = np.frombuffer(b"".join(points[same]), dtype=np.uint8).reshape(len(same), -1)[:, 1:]
+        if form >> 32 == 4:
+            data = np.stack([data & 15, data >> 4], 2)
+        elif form >> 32 == 32:
+            data = np.ascontiguousarray(data).view(np.int32)
+        rows[same] = data.reshape(len(same), 1 << bits, -1).sum(2, dtype=np.int32)
+    return rows.astype(np.uint8) if rows.max(initial=0) < 256 else rows
+
+
+def in_forests(one: list[int], other: list[int], forests: int) -> list[bool]:
+    """Which of the pairs of roots the forests take: each pair goes to the first in which it joins two trees."""
+    trees: list[dict[int, int]] = []
+    taken = []
+    for x, y in zip(one, other, strict=True):
+        for k in range(forests):
+            if k == len(trees):
+                trees.append({root: root for root in {*one, *other}})
+            names = trees[k]
+            if (mine := names[x]) != (theirs := names[y]):
+                names.update({root: mine for root, name in names.items() if name == theirs})
+                break
+        else:
+            taken.append(False)
+            continue
+        taken.append(True)
+    return taken
 
 
 def _pairs_of(rows: dict[str, np.ndarray], forests: int) -> Iterator[pa.RecordBatch]:
     root, n, cls = rows["root"], rows["n"], rows["cls"]
     if (root == root[0]).all():
         return
-    bits = min(_width_bits(data) for data in rows["point"])
+    bits = int(rows["bits"].min())
     counts = [fold(unpacked(data), bits) for data in rows["point"]]
     place = {int(name): i for i, name in enumerate(cls)}
     refused: dict[int, list[int]] = {}
@@ -373,20 +479,20 @@ def _pairs_of(rows: dict[str, np.ndarray], forests: int) -> Iterator[pa.RecordBa
             if (j := place.get(int(name))) is not None:
                 refused.setdefault(i, []).append(j)
                 refused.setdefault(j, []).append(i)
-    if len(cls) == 2:
-        near = 100 * n.min() >= PERCENT * n.max() and 9 * np.minimum(*counts).sum() >= 4 * n.sum()
-        pairs, left = ([(0, 1)] if near and not refused else []), False
-    else:
-        points = np.empty((len(counts), 1 << bits), dtype=np.uint8 if max(int(c.max()) for c in counts) < 256 else np.int32)
-        for i, c in enumerate(counts):
-            points[i] = c
-        pairs, left = linking_pairs(points, n, root, rows["slice"], refused, forests)
+    points = np.empty((len(counts), 1 << bits), dtype=np.uint8 if max(int(c.max()) for c in counts) < 256 else np.int32)
+    for i, c in enumerate(counts):
+        points[i] = c
+    pairs, left = linking_pairs(points, n, root, rows["slice"], refused, forests)
     if pairs or left:
-        named = cls[np.array(pairs, dtype=np.int64).reshape(-1, 2)]
-        high = pa.array([*named.max(1).tolist(), *[None] * left], pa.int64())
-        low = pa.array([*named.min(1).tolist(), *[None] * left], pa.int64())
-        page = pa.array([None] * len(named) + [int(rows["page"][0])] * left, pa.int64())
-        yield pa.RecordBatch.from_arrays([high, low, page], ["a", "b", "page"])
+        yield _taken(cls[np.array(pairs, dtype=np.int64).reshape(-1, 2)], [rows["page"][0]] * left)
+
+
+def _taken(pairs: np.ndarray, left: list[int]) -> pa.RecordBatch:
+    """Pairs of classes, and the pages that are not done with."""
+    high = pa.array([*pairs.max(1).tolist(), *[None] * len(left)], pa.int64())
+    low = pa.array([*pairs.min(1).tolist(), *[None] * len(left)], pa.int64())
+    page = pa.array([None] * len(pairs) + [int(name) for name in left], pa.int64())
+    return pa.RecordBatch.from_arrays([high, low, page], ["a", "b", "page"])
 
 
 def _width_bits(data: bytes) -> int:

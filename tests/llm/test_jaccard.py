@@ -201,6 +201,70 @@ def test_linking_pairs_join_what_the_bound_leaves():
         assert _joined(once, roots) == _joined(want, roots)
 
 
+@pytest.mark.parametrize("step", [1, 1 << 20])
+def test_small_pages_are_taken_many_at_once(monkeypatch, step):
+    """Pages of a leaf or less make no tree each; forests, refused pairs and slices count as in larger pages."""
+
+    def tree(points, *_):
+        raise AssertionError(f"a tree over {len(points)} points")
+
+    monkeypatch.setattr(jaccard, "linking_pairs", tree)
+    monkeypatch.setattr(jaccard, "STEP", step, raising=False)
+    draw = random.Random(6)
+    rows, points, want, open_pages = [], {}, defaultdict(set), set()
+    for page in range(120):
+        two, width = page % 3 == 0, draw.choice([256, 256, 512])
+        base = [draw.randrange(width) for _ in range(draw.choice([12, 300, 900]))] + [0] * draw.choice([0, 20, 300])
+        members = []
+        for k in range(draw.choice([1, 2, 2, 3, 5, 9, 32])):
+            some = draw.sample(base, len(base) - draw.randrange(len(base) // 6 + 1))
+            counts = np.bincount(some, minlength=width).astype(np.int32)
+            if width == 512 and k % 2:
+                counts = jaccard.fold(counts, 8)
+            cls = page * 100 + k
+            points[cls] = counts
+            members.append([page, 0, int(two), k % 2 if two else 0, cls, len(some), page * 100 + draw.randrange(40), jaccard.packed(counts), None])
+        for a in members:
+            for b in members:
+                bits = min(len(points[a[4]]), len(points[b[4]])).bit_length() - 1
+                bound = np.minimum(jaccard.fold(points[a[4]], bits), jaccard.fold(points[b[4]], bits)).sum()
+                if (
+                    a[4] > b[4]
+                    and a[6] != b[6]
+                    and (not two or a[3] != b[3])
+                    and 100 * min(a[5], b[5]) >= 80 * max(a[5], b[5])
+                    and 9 * bound >= 4 * (a[5] + b[5])
+                ):
+                    if draw.random() < 0.1:  # told by the larger class
+                        a[8] = [*(a[8] or []), b[4]]
+                    else:
+                        want[page].add((a[4], b[4]))
+        rows += members
+    assert sum(map(len, want.values())) > 1000 and any(row[8] for row in rows)
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+    names = ["page", "one", "two", "slice", "cls", "n", "root", "point", "refused"]
+    table = pa.table([pa.array(values, t) for values, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+    roots = {row[4]: row[6] for row in rows}
+
+    def taken(forests, size):
+        batches = jaccard._kept_pairs(iter(table.to_batches(max_chunksize=size)), forests)
+        found = [row for batch in batches for row in batch.to_pylist()]
+        pairs = [(row["a"], row["b"]) for row in found if row["page"] is None]
+        assert len(pairs) == len(set(pairs))
+        return set(pairs), [row["page"] for row in found if row["page"] is not None]
+
+    every = set().union(*want.values())
+    assert taken(512, 100) == (every, [])
+    some, left = taken(1, 1000)
+    assert some < every and set(left) == {a // 100 for a, _ in every - some} and len(left) == len(set(left))
+    for page in want:
+        local = {c: i for i, c in enumerate(c for c in roots if c // 100 == page)}
+        own = np.array([roots[c] for c in local])
+        pick = [{(local[a], local[b]) for a, b in pairs if a // 100 == page} for pairs in (some, every)]
+        assert _joined(pick[0], own) == _joined(pick[1], own)
+        assert len(pick[0]) < len(local)
+
+
 def _joined(pairs, roots):
     names = {r: r for r in roots.tolist()}
 
