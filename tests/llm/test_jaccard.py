@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import graph, jaccard, queries
 from ledgerline.llm import shingles as hashing
+from ledgerline.sources.tables import stage
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -147,6 +148,15 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_stars_need_no_round(spark, monkeypatch):
+    staged = []
+    monkeypatch.setattr(graph, "stage", lambda df, label: staged.append(label) or stage(df, label))
+    edges = [(1, k) for k in range(2, 30)] + [(40, 41), (41, 40)]
+    out = graph.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r.node: r.root for r in out} == {k: 1 for k in range(1, 30)} | {40: 40, 41: 40}
+    assert len(staged) == 1
+
+
 def test_shingles_follow_the_contract(monkeypatch):
     texts = ["", None, "a", "a b c d e f", "A b c D e", "x y z", "a a a a a a a a", "É é \x0b ü", " ", "\ttab\n", "a" * 5000]
     texts += ["one two three four five", "ONE two\x0cthree\rfour five", "w " * 3000, "é" * 900 + " x y z w v u"]
