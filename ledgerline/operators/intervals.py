@@ -107,18 +107,24 @@ def _stabbed(facts: DataFrame, over: DataFrame, key: str, at: str) -> DataFrame:
     deals its rows alike.
     """
     levels = F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("_level")
-    points = facts.select(F.col(key).alias("_key"), epoch_micros(F.col(at)).alias("_at"), "_id", F.struct(*facts.columns).alias("_row"))
-    points = points.select("_key", "_id", "_row", "_at", levels)
+    # Plain columns up to the last join: Spark loses fields of a struct that passes several generators.
+    row = [F.col(c).alias(f"_row_{i}") for i, c in enumerate(facts.columns)]
+    fields = over.schema["_over"].dataType.names
+    part = [F.col("_over")[c].alias(f"_over_{i}") for i, c in enumerate(fields)]
+    points = facts.select(F.col(key).alias("_key"), epoch_micros(F.col(at)).alias("_at"), "_id", *row)
+    points = points.select("*", levels)
     points = points.withColumn("_bucket", _floored(F.col("_at"), F.col("_level"))).drop("_at")
     spans = over.select(
         F.col(key).alias("_key"),
         "_id",
-        "_over",
+        *part,
         epoch_micros(F.col("_next")).alias("_from"),
         epoch_micros(F.col("_over.end")).alias("_until"),
     )
+    row = [f"_row_{i}" for i in range(len(row))]
+    part = [f"_over_{i}" for i in range(len(part))]
     spans = spans.select("*", levels)
-    spans = spans.select("_key", "_id", "_over", "_level", F.explode(_whole_buckets()).alias("_bucket"))
+    spans = spans.select("_key", "_id", *part, "_level", F.explode(_whole_buckets()).alias("_bucket"))
 
     grid = (
         _sizes(spans, "_rows")
@@ -126,12 +132,16 @@ def _stabbed(facts: DataFrame, over: DataFrame, key: str, at: str) -> DataFrame:
         .select(*BUCKET, "_rows", "_columns")
     )
     points = points.join(grid, BUCKET).select(
-        *BUCKET, "_row", _dealt("_columns").alias("_column"), F.explode(_upto("_rows")).alias("_line")
+        *BUCKET, *row, _dealt("_columns").alias("_column"), F.explode(_upto("_rows")).alias("_line")
     )
     spans = spans.join(grid, BUCKET).select(
-        *BUCKET, "_over", _dealt("_rows").alias("_line"), F.explode(_upto("_columns")).alias("_column")
+        *BUCKET, *part, _dealt("_rows").alias("_line"), F.explode(_upto("_columns")).alias("_column")
+    )
+    pairs = points.join(spans, [*BUCKET, "_line", "_column"])
+    return pairs.select(
+        F.struct(*[F.col(a).alias(c) for a, c in zip(row, facts.columns, strict=True)]).alias("_row"),
+        F.struct(*[F.col(a).alias(c) for a, c in zip(part, fields, strict=True)]).alias("_over"),
     )
-    return points.join(spans, [*BUCKET, "_line", "_column"]).select("_row", "_over")
 
 
 def _floored(micros: Column, level: Column) -> Column:

@@ -45,6 +45,24 @@ def test_overlaps_at_every_scale(spark, scale, hot):
     assert joined(spark, facts, spans, hot) == expected(facts, spans)
 
 
+@pytest.mark.parametrize("hot", [[], ["k0"]])
+def test_several_carried_columns(spark, hot):
+    """Overhangs that carry their ends, too, reach the end of the plan whole."""
+    pick = random.Random(5)
+    spans = []
+    for n in range(40):
+        a, b = sorted(DAY + timedelta(hours=pick.randint(0, 200)) for _ in range(2))
+        spans.append((f"k{n % 2}", a, b, f"n{n}"))
+    facts = [(i, f"k{i % 2}", DAY + timedelta(hours=pick.randint(0, 200)), True) for i in range(60)]
+    fact, span = spark.createDataFrame(facts, FACT), spark.createDataFrame(spans, SPAN)
+    found = interval_join(fact, span, "k", "t", "a", "b", ["name", "a", "b"], F.col("use"), hot)
+    got = sorted(((r.i, r.name, r.a, r.b) for r in found.select("i", F.col("name"), "a", "b").collect()), key=repr)
+    wanted = []
+    for i, k, t, _ in facts:
+        wanted += [(i, n, a, b) for kk, a, b, n in spans if kk == k and a <= t < b] or [(i, None, None, None)]
+    assert got == sorted(wanted, key=repr)
+
+
 def test_no_overlap_needs_no_buckets(spark, monkeypatch):
     monkeypatch.setattr(intervals, "_stabbed", None)
     spans = [("k", DAY + timedelta(hours=n), DAY + timedelta(hours=n + 1), f"n{n}") for n in range(5)]
