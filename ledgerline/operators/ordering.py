@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 from ledgerline.sources.tables import stage
 
 
-def cut(df: DataFrame, order: Sequence[str | Column], label: str) -> DataFrame:
+def cut(df: DataFrame, order: Sequence[str | Column], label: str, codec: str | None = None) -> DataFrame:
     """`df` stored in range parts over `order`, with the part number in `_part`."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
-    return stage(ranged, label)
+    return stage(ranged, label, codec)
 
 
 def positions(stored: DataFrame, order: Sequence[str | Column], size: Column | None = None) -> DataFrame:

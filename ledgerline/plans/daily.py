@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators.hot import SLICE, hot_keys, only, without
 from ledgerline.plans import billing, events, periods, referral, titles
 from ledgerline.plans.events import SUBSCRIPTION, Labels
-from ledgerline.sources.tables import append_new, append_rows, delete_where, replace_table, stage
+from ledgerline.sources.tables import COMPACT, append_new, append_rows, delete_where, replace_table, stage
 from ledgerline.sources.versions import Versions
 
 
@@ -132,13 +132,13 @@ def billing_rawdata(
 
 def staged_participants(t, as_of: Column) -> DataFrame:
     """The last month's participants, read by the deletion and by the insertion."""
-    return stage(referral.participants_stage(t.document_service, as_of), "participants-stage")
+    return stage(referral.participants_stage(t.document_service, as_of), "participants-stage", COMPACT)
 
 
 def referral_attribution(t, as_of: Column) -> tuple[DataFrame, DataFrame]:
     """The refreshed participants and the users newly attributed to a contact."""
     staged = staged_participants(t, as_of)
-    stored = stage(referral.participants_refresh(t.participant_data, staged), "participants")
+    stored = referral.participants_refresh(t.participant_data, staged)
     touches = referral.first_touch(stored, t.document_creation)
     return stored, referral.referral_attribution(touches, t.user_service, t.test_user, t.viral_effect_analysis)
 

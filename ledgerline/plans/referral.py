@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.dates import local_time, recent_since
 from ledgerline.functions.identity import contact_kind, mask_contact
 from ledgerline.operators.matching import first_per
-from ledgerline.operators.ordering import cut, positions
-from ledgerline.sources.tables import append_new, conform, delete_matching, scan_entities
+from ledgerline.operators.ordering import cut
+from ledgerline.operators.passes import in_passes, passes_for
+from ledgerline.sources.tables import COMPACT, append_new, conform, delete_matching, scan_entities, stage
 
 # Entity kind, key prefix and roles of participants.
 KIND = "Participant"
@@ -62,22 +64,31 @@ def participants_stage(items: DataFrame, as_of: Column) -> DataFrame:
 def signing_order(rows: DataFrame) -> DataFrame:
     """Order to sign within a document: 1 for the earliest deadline, else the position by id.
 
-    Positions are taken over the whole table and counted from the document's
-    first one, so a document of any size is spread over many tasks.
+    Rows are cut by range over the whole order and numbered within a document's
+    share of each part, with the shares before it added, so a document of any
+    size is spread over many tasks.
     """
     order = [
-        F.asc("documentid"),
         F.asc_nulls_last("participantid"),
         F.asc_nulls_last("due"),
         F.asc_nulls_last("contact"),
         F.asc("_tie"),
     ]
-    placed = positions(cut(rows.withColumn("_tie", F.monotonically_increasing_id()), order, "signing-order"), order)
-    starts = placed.groupBy("documentid").agg(F.min("_row").alias("_start"), F.min("due").alias("_earliest"))
-    place = F.col("_row") - F.col("_start") + 1
+    tied = rows.withColumn("_tie", F.monotonically_increasing_id())
+    stored = cut(tied, [F.asc("documentid"), *order], "signing-order", COMPACT)
+    share = ["documentid", "_part"]
+    shares = stored.groupBy(*share).agg(F.count(F.lit(1)).alias("_n"), F.min("due").alias("_due"))
+    whole = W.partitionBy("documentid")
+    before = whole.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    shares = shares.select(
+        *share,
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.min("_due").over(whole).alias("_earliest"),
+    )
+    place = F.row_number().over(W.partitionBy(*share).orderBy(*order)) + F.col("_before")
     first = F.col("due").eqNullSafe(F.col("_earliest"))
     ordinal = F.when(first, F.lit(1).cast("bigint")).otherwise(place)
-    return placed.join(starts, "documentid").withColumn("ordinal", ordinal).select(*rows.columns, "ordinal")
+    return stored.join(shares, share).withColumn("ordinal", ordinal).select(*rows.columns, "ordinal")
 
 
 STORED = [
@@ -140,12 +151,21 @@ def attribution_table(rows: DataFrame) -> DataFrame:
     return conform(rows, ATTRIBUTION_SCHEMA)
 
 
-def new_participants(staged: DataFrame, stored: DataFrame) -> DataFrame:
+def new_participants(staged: DataFrame, stored: DataFrame, passes: int | None = None) -> DataFrame:
     """Staged participants not stored yet, in order and with masked contacts."""
-    fresh = append_new(staged, stored, "participantid")
-    rows = signing_order(fresh)
-    masked = mask_contact(F.col("contact"), F.col("contactinfo"))
-    return rows.withColumn("contact", masked).select(*STORED)
+
+    def ordered(rows: DataFrame) -> DataFrame:
+        masked = mask_contact(F.col("contact"), F.col("contactinfo"))
+        return signing_order(rows).withColumn("contact", masked).select(*STORED)
+
+    known = stored.select("participantid")
+    return in_passes(
+        lambda rows: ordered(append_new(rows, known, "participantid")),
+        "documentid",
+        passes or passes_for(staged),
+        "participants-ordered",
+        staged,
+    )
 
 
 def participants_delete(stored: DataFrame, staged: DataFrame) -> DataFrame:
@@ -154,9 +174,23 @@ def participants_delete(stored: DataFrame, staged: DataFrame) -> DataFrame:
 
 
 def participants_refresh(stored: DataFrame, staged: DataFrame) -> DataFrame:
-    """The stored table after the day's run."""
-    kept = participants_delete(stored, staged)
-    return kept.select(*STORED).unionByName(new_participants(staged, kept))
+    """The stored table after the day's run.
+
+    The result is stored, so it may replace ``stored``. Both steps read
+    ``staged``: pass a staged frame. Large tables are refreshed in passes over
+    the documents.
+    """
+    passes = passes_for(stored, staged)
+    kept = in_passes(
+        lambda rows, changed: participants_delete(rows, changed).select(*STORED),
+        "documentid",
+        passes,
+        "participants-kept",
+        inside(stored),
+        staged,
+    )
+    rows = kept.unionByName(new_participants(staged, kept, passes))
+    return rows if passes > 1 else stage(rows, "participants", COMPACT)
 
 
 def first_touch(participants: DataFrame, documents: DataFrame, require_viewed: bool = False) -> DataFrame:
