@@ -208,9 +208,14 @@ def first_touch(participants: DataFrame, documents: DataFrame, require_viewed: b
     )
     if require_viewed:
         seen = seen.where(F.col("signingat").isNotNull())
-    reached = seen.join(doc, "documentid").where(F.col("currentsigningorder") >= F.col("ordinal"))
     order = [F.asc_nulls_last("signingat"), F.asc_nulls_last("participantid")]
-    return first_per(reached.select(*TOUCH), ["contact"], order)
+    passes = passes_for(seen, doc)
+
+    def reached(rows: DataFrame, docs: DataFrame) -> DataFrame:
+        return rows.join(docs, "documentid").where(F.col("currentsigningorder") >= F.col("ordinal")).select(*TOUCH)
+
+    turns = in_passes(reached, "documentid", passes, "touches-reached", seen, doc)
+    return in_passes(lambda rows: first_per(rows, ["contact"], order), "contact", passes, "first-touch", turns)
 
 
 def match_either_key(touches: DataFrame, users: DataFrame, keys: Sequence[str]) -> DataFrame:

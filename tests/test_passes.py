@@ -16,6 +16,7 @@ PERSON = (
     "documentid string, participantid string, contact string, type string, ordinal long, contactinfo string, "
     "signingmethod string, locale string, due timestamp_ntz, viewed timestamp_ntz, signingduration long, createdat timestamp_ntz"
 )
+DOCUMENT = "id string, userid string, workspaceid string, estimated_workspaceid string, createdat timestamp_ntz, currentsigningorder long"
 
 
 def people(seed, n, null_documents):
@@ -69,3 +70,15 @@ def test_only_what_is_staged_inside_goes(spark):
         assert inner.count() == 4
     assert outer.count() == 3
     assert left(spark, "test-outer") and not left(spark, "test-inner")
+
+
+def test_touches_in_passes(spark, monkeypatch):
+    documents = [(f"d{i % 10}" if i < 12 else None, f"u{i}", "w", "w", DAY, i % 4) for i in range(10)]
+    seen = spark.createDataFrame(people(3, 90, True), PERSON).withColumn("viewed", F.col("createdat") + F.expr("make_interval(0, 0, 0, 0, 0, signingduration)"))
+    docs = spark.createDataFrame(documents, DOCUMENT)
+    seen = seen.dropDuplicates(["participantid", "viewed"])
+    whole = rows(referral.first_touch(seen, docs))
+    monkeypatch.setattr(passes, "PASS_ROWS", 0)
+    found = referral.first_touch(seen, docs)
+    assert rows(found) == whole and len(whole) > 5
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
