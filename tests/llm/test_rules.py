@@ -114,6 +114,33 @@ def test_best_limit():
     assert 0.3 < rules.best_limit(np.array([0.3, 0.3, 0.3, 0.9]), np.array([True, True, False, False])) < 0.9
 
 
+def test_best_limit_at_the_ends():
+    assert rules.best_limit(np.array([1.0, 1.0]), np.array([True, True])) == 1.0
+    low, high = 1 - 2**-53, 1 - 2**-52
+    limit = rules.best_limit(np.array([high, low]), np.array([True, False]))
+    assert high <= limit < low
+
+
+def test_all_labelled_rows_set_the_limit(spark, monkeypatch):
+    """Good rows that are all in one half of the draw's parts, none held back, and every row counts once."""
+    parts = spark.range(400).selectExpr("id", "cast(pmod(xxhash64(id, 'part'), 4) as int) as part", "pmod(crc32(cast(cast(id as string) as binary)), 3) = 1 as held")
+    ids = [(r.id, r.part) for r in parts.orderBy("id").collect() if not r.held]
+    good = [i for i, part in ids if part in (1, 2)][:40]
+    bad = [i for i, _ in ids if i not in good][:10]
+    draw = random.Random(5)
+    texts = [(i, " ".join(f"{draw.choice('abcde')}{draw.randrange(99)}x" for _ in range(120))) for i in good]
+    texts += [(i, " ".join(f"#{draw.randrange(9999)}!?" for _ in range(120))) for i in bad]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in good] + [(i, 0) for i in bad], "doc_id long, quality int")
+    counted, limit_of = [], rules.best_limit
+    monkeypatch.setattr(rules, "best_limit", lambda scores, good: counted.append(good) or limit_of(scores, good))
+    forest = rules.fit(docs, labels)
+    assert forest is not None
+    assert counted[0].sum() == len(good) and (~counted[0]).sum() == len(bad)
+    kept = {r.doc_id for r in rules.judged(docs, forest).collect() if r.kept}
+    assert kept == set(good)
+
+
 def test_one_label_or_none(spark):
     docs = spark.createDataFrame([(1, "a b " * 60), (2, None)], "doc_id long, text string")
     for rows in ([], [(1, 1, 0)], [(1, None, 0)]):
